@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import line_dedup
+from . import decontaminate, line_dedup
 from .common import table
 
 
 def queries() -> dict:
     return {
         "op2_line_dedup": lambda spark, d: line_dedup.query(table(spark, d, "documents")),
+        "op10_decontaminate": lambda spark, d: decontaminate.query(table(spark, d, "documents"), table(spark, d, "benchmark")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.ORACLE,
+        "op10_decontaminate": decontaminate.ORACLE,
     }
