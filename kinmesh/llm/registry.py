@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup
+from . import decontaminate, line_dedup, pii
 from .common import table
 
 
 def queries() -> dict:
     return {
         "op2_line_dedup": lambda spark, d: line_dedup.query(table(spark, d, "documents")),
+        "op8_pii": lambda spark, d: pii.query(table(spark, d, "documents")),
         "op10_decontaminate": lambda spark, d: decontaminate.query(table(spark, d, "documents"), table(spark, d, "benchmark")),
     }
 
