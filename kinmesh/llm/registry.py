@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, pii
+from . import bitslice, decontaminate, line_dedup, pii
 from .common import table
 
 
 def queries() -> dict:
     return {
         "op2_line_dedup": lambda spark, d: line_dedup.query(table(spark, d, "documents")),
+        "op3_bitslice_topk": lambda spark, d: bitslice.query(table(spark, d, "embeddings")),
         "op8_pii": lambda spark, d: pii.query(table(spark, d, "documents")),
         "op10_decontaminate": lambda spark, d: decontaminate.query(table(spark, d, "documents"), table(spark, d, "benchmark")),
     }
@@ -17,5 +18,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.ORACLE,
+        "op3_bitslice_topk": bitslice.ORACLE,
         "op10_decontaminate": decontaminate.ORACLE,
     }
