@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bitslice, decontaminate, line_dedup, pii, toxicity
+from . import bitslice, decontaminate, line_dedup, pii, simhash, toxicity
 from .common import table
 
 
@@ -10,6 +10,7 @@ def queries() -> dict:
     return {
         "op2_line_dedup": lambda spark, d: line_dedup.query(table(spark, d, "documents")),
         "op3_bitslice_topk": lambda spark, d: bitslice.query(table(spark, d, "embeddings")),
+        "op5_simhash_bktree": lambda spark, d: simhash.query(table(spark, d, "documents")),
         "op8_pii": lambda spark, d: pii.query(table(spark, d, "documents")),
         "op9_toxicity": lambda spark, d: toxicity.query(table(spark, d, "documents"), table(spark, d, "labels")),
         "op10_decontaminate": lambda spark, d: decontaminate.query(table(spark, d, "documents"), table(spark, d, "benchmark")),
