@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bitslice, decontaminate, line_dedup, packing, pii, simhash, toxicity
+from . import bitslice, decontaminate, line_dedup, packing, pii, simhash, substring, toxicity
 from .common import table
 
 
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_line_dedup": lambda spark, d: line_dedup.query(table(spark, d, "documents")),
         "op3_bitslice_topk": lambda spark, d: bitslice.query(table(spark, d, "embeddings")),
         "op5_simhash_bktree": lambda spark, d: simhash.query(table(spark, d, "documents")),
+        "op6_debruijn_dedup": lambda spark, d: substring.query(table(spark, d, "documents")),
         "op7_bin_slack_packing": lambda spark, d: packing.query(table(spark, d, "documents")),
         "op8_pii": lambda spark, d: pii.query(table(spark, d, "documents")),
         "op9_toxicity": lambda spark, d: toxicity.query(table(spark, d, "documents"), table(spark, d, "labels")),
@@ -22,5 +23,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.ORACLE,
         "op3_bitslice_topk": bitslice.ORACLE,
+        "op6_debruijn_dedup": substring.ORACLE,
         "op10_decontaminate": decontaminate.ORACLE,
     }

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small, stage
+
 MAX_TERMS, MAX_PHRASES, FIT_ROWS = 4096, 1024, 20_000
 MIN_PREFIX, MAX_PREFIX, MIN_ODDS = 4, 24, 2.5
 #: A term's counts must be this unlikely under the labels' shares (G statistic), and
@@ -42,8 +44,12 @@ HOMOGLYPHS = str.maketrans("аеорсухіјѕԁһкмтвнгп" + "αβει
 SUBSTITUTES = str.maketrans("0134578@$", "oieastbas")
 #: Harmless phrases that hold words of abuse.
 PHRASES = ("trash can", "trash bin", "trash bag", "clown fish", "circus clown", "pond scum", "sore loser")
-SUBSTITUTED = re.compile(r"[^\W_]*[0-9@$](?:[^\W_]|[@$])*")
-BETWEEN = re.compile(r"[\W_]+")
+LOOKALIKE = re.compile("[\u0370-\u03ff\u0400-\u052f]")
+SYMBOL = re.compile("[0-9@$]")
+SUBSTITUTED = re.compile(r"(?<![^\W_@$])[^\W\d_]*+[0-9@$](?:[^\W_]|[@$])*+")
+#: Everything ASCII but letters and digits parts words, and so does punctuation beyond it.
+APART = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
+PUNCTUATION = re.compile("[\u00a0-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb-\u00bf\u2000-\u206f\u2190-\u2bff\u3000-\u303f]")
 
 
 def _unmask(m: re.Match) -> str:
@@ -60,8 +66,12 @@ def fold(text: str | None) -> str:
         text = unicodedata.normalize("NFKC", text)
     text = text.lower()
     if not text.isascii():
-        text = text.translate(HOMOGLYPHS)
-    return " " + BETWEEN.sub(" ", SUBSTITUTED.sub(_unmask, text)).strip() + " "
+        if LOOKALIKE.search(text):
+            text = text.translate(HOMOGLYPHS)
+        text = PUNCTUATION.sub(" ", text)
+    if SYMBOL.search(text):
+        text = SUBSTITUTED.sub(_unmask, text)
+    return " " + b" ".join(text.encode().translate(APART).split()).decode() + " "
 
 
 def _incidence(batches):
@@ -69,7 +79,7 @@ def _incidence(batches):
     for b in batches:
         tally: dict[str, list[int]] = {}
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            for w in set(fold(text).split()):
+            for w in set(text.split()):
                 if len(w) >= 3:
                     tally.setdefault(w[:MAX_PREFIX], [0, 0])[0 if toxic else 1] += 1
         words = list(tally)
@@ -87,8 +97,7 @@ def _neighbours(train: DataFrame, terms: list[str]) -> dict[str, int]:
         auto = automaton(dict.fromkeys(terms, 0.0))
         for b in batches:
             own = set()
-            for text in b.column(0).to_pylist():
-                folded = fold(text)
+            for folded in b.column(0).to_pylist():
                 for end, (n, _) in auto.iter(folded) if len(auto) else ():
                     start = end - n + 1
                     own.add((folded[start : end + 1], folded[folded.rfind(" ", 0, start) + 1 : start]))
@@ -151,9 +160,8 @@ def _phrases_around(text: str, start: int) -> list[str]:
     return out + ([text[start + 1 : after]] if after > 0 else [])
 
 
-def features(text: str | None, auto, exceptions: frozenset) -> tuple[float, float]:
+def features(folded: str, auto, exceptions: frozenset) -> tuple[float, float]:
     """Sum of the weights of the hits, and of that by 100 words."""
-    folded = fold(text)
     total = 0.0
     if len(auto):
         last = -1
@@ -173,8 +181,7 @@ def learn_phrases(train: DataFrame, terms: dict[str, float]) -> frozenset:
         auto = automaton(terms)
         for b in batches:
             out = []
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                folded = fold(text)
+            for folded, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = {p for end, (n, _) in auto.iter(folded) for p in _phrases_around(folded, end - n + 1)} if len(auto) else set()
                 out += [(p, int(bool(toxic)), int(not toxic)) for p in own]
             cols = list(zip(*out)) or [[], [], []]
@@ -205,9 +212,17 @@ class Model:
         self.terms, self.exceptions, self.weights, self.share = terms, exceptions, weights, share
 
 
+def _folded(batches):
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(fold, b.column(1).to_pylist()), pa.string()), b.column(2)], ["doc_id", "text", "toxic"])
+
+
 def train_model(train: DataFrame) -> Model:
-    """train: text, toxic (0 or 1), and doc_id for the order of the bounded sample."""
-    train = train.filter("toxic is not null").select("doc_id", "text", (F.col("toxic") > 0).alias("toxic"))
+    """train: text, toxic (0 or 1), and doc_id for the order of the bounded sample.
+
+    The folded training texts are written once; every later pass reads them."""
+    train = train.filter("toxic is not null").select(F.col("doc_id").cast("string").alias("doc_id"), "text", (F.col("toxic") > 0).alias("toxic"))
+    train = stage(train.mapInArrow(_folded, "doc_id string, text string, toxic boolean"), "folded")
     n = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     n_toxic, n_clean = n.get(True, 0), n.get(False, 0)
     if not n_toxic or not n_clean:
@@ -221,7 +236,7 @@ def train_model(train: DataFrame) -> Model:
             x = [features(t, auto, exceptions) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in x], pa.float64()), pa.array([c for _, c in x], pa.float64()), b.column(1)], ["total", "rate", "toxic"])
 
-    order = F.xxhash64(F.col("doc_id").cast("string"))
+    order = F.xxhash64("doc_id")
     some = None
     for kind in (True, False):
         part = train.filter(F.col("toxic") == kind).orderBy(order, "doc_id").select("text", "toxic").limit(FIT_ROWS)
@@ -242,7 +257,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             if model.weights is None:
                 p = np.full(b.num_rows, model.share)
             else:
-                x = np.array([features(t, auto, model.exceptions) for t in b.column("text").to_pylist()]).reshape(-1, 2)
+                x = np.array([features(fold(t), auto, model.exceptions) for t in b.column("text").to_pylist()]).reshape(-1, 2)
                 p = 1 / (1 + np.exp(-np.clip(np.column_stack([x, np.ones(len(x))]) @ model.weights, -30, 30)))
             yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + [pa.array(p, pa.float64())], [*kept, "score"])
 
@@ -255,7 +270,7 @@ def held_out(doc_id):
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    train = docs.select("doc_id", "text").join(known.filter(~held_out(F.col("doc_id"))), "doc_id")
+    known = stage(labels.filter("toxic is not null and doc_id is not null").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "toxic-labels")
+    train = docs.select("doc_id", "text").join(small(known), "doc_id")
     out = score(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), train_model(train))
     return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
