@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bitslice, decontaminate, line_dedup, packing, pii, simhash, substring, toxicity
+from . import bitslice, decontaminate, html_extract, line_dedup, packing, pii, simhash, substring, toxicity
 from .common import table
 
 
 def queries() -> dict:
     return {
+        "op1_html_consensus": lambda spark, d: html_extract.query(table(spark, d, "pages")),
         "op2_line_dedup": lambda spark, d: line_dedup.query(table(spark, d, "documents")),
         "op3_bitslice_topk": lambda spark, d: bitslice.query(table(spark, d, "embeddings")),
         "op5_simhash_bktree": lambda spark, d: simhash.query(table(spark, d, "documents")),
