@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bitslice, decontaminate, html_extract, line_dedup, packing, pii, simhash, substring, toxicity
+from . import bitslice, decontaminate, html_extract, line_dedup, packing, pii, quality, simhash, substring, toxicity
 from .common import table
 
 
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op1_html_consensus": lambda spark, d: html_extract.query(table(spark, d, "pages")),
         "op2_line_dedup": lambda spark, d: line_dedup.query(table(spark, d, "documents")),
         "op3_bitslice_topk": lambda spark, d: bitslice.query(table(spark, d, "embeddings")),
+        "op4_cotrained_quality": lambda spark, d: quality.query(table(spark, d, "documents"), table(spark, d, "labels")),
         "op5_simhash_bktree": lambda spark, d: simhash.query(table(spark, d, "documents")),
         "op6_debruijn_dedup": lambda spark, d: substring.query(table(spark, d, "documents")),
         "op7_bin_slack_packing": lambda spark, d: packing.query(table(spark, d, "documents")),
