@@ -32,8 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small, stage
 from .components import components
-from .common import stage
 
 TREE, STEP = 4096, 1 << 21
 
@@ -207,3 +207,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
 def query(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = 5, radius: int = 7) -> DataFrame:
+    """docs without those that link to a smaller doc_id, directly or over others.  Rows without a doc_id stay."""
+    found = near_duplicates(docs, shingle, radius)
+    gone = small(stage(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "copies"))
+    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
