@@ -14,10 +14,11 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 import sys
 import zlib
+from unicodedata import is_normalized
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import small, stage
 
 SIZE, END, SALTS, CACHE = 2048, 0, 64, 1_000_000
-#: White space of any reading: the tokenizer drops it and never joins what it parts.
-GAP = re.compile(r"[ \t\n\r]+")
+#: Marks that the tokenizer parts from the letters before them, whatever these are.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'<>")
 
 
 def default_tokenizer() -> str:
@@ -35,30 +36,74 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _encoder(path: str):
+class Encoder:
     """text -> its ids as little-endian unsigned 32-bit bytes.
 
-    Between white space a text's ids do not depend on what stands around, so each
-    distinct chunk is encoded once in a worker and looked up after that."""
-    held = sys.__dict__.setdefault("_kinmesh_token_ids", {})
-    if path not in held:
+    The tokenizer drops white space and never joins what it parts, so each distinct
+    chunk between it is encoded once in a worker and looked up after that.  Most
+    chunks are letters and then marks; the tokenizer parts these too, and lower-cases,
+    so the letters are encoded many words at a time, and once for all spellings."""
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        held[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = held[path]
-
-    def encode(text: str) -> bytes:
-        chunks = GAP.split(text)
-        if len(known) > CACHE:
-            known.clear()
-        new = list({c for c in chunks if c not in known})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for c, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[c] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        return b"".join(map(known.__getitem__, chunks))
-
-    return encode
+        self.tokenizer = Tokenizer.from_file(path)
+        self.chunks: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def __call__(self, text: str) -> bytes:
+        chunks = text.encode().split()
+        try:
+            return b"".join(map(self.chunks.__getitem__, chunks))
+        except KeyError:
+            self._learn({c for c in chunks if c not in self.chunks})
+            out = b"".join(map(self.chunks.__getitem__, chunks))
+        if len(self.chunks) > CACHE:
+            self.chunks.clear()
+        if len(self.parts) > CACHE:
+            self.parts = {"": b""}
+        return out
+
+    def _learn(self, chunks: set[bytes]):
+        split, words, rest = [], set(), set()
+        for c in chunks:
+            whole = c.decode()
+            letters = whole.rstrip(MARKS)
+            low = letters.lower()
+            plain = low.isalpha() and letters.isalpha() and "\u03a3" not in letters and (whole.isascii() or is_normalized("NFC", letters) and is_normalized("NFC", low))
+            split.append((c, low, whole[len(letters) :]) if plain else (c, whole, ""))
+            (words if plain else rest).add(split[-1][1])
+            rest.add(split[-1][2])
+        self._encode_words([w for w in words if w not in self.parts])
+        rest = [r for r in rest if r not in self.parts]
+        for r, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.parts[r] = _bytes(e.ids)
+        for c, a, b in split:
+            self.chunks[c] = self.parts[a] + self.parts[b]
+
+    def _encode_words(self, words: list[str]):
+        for at in range(0, len(words), 2048):
+            some = words[at : at + 2048]
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, number = np.array(e.ids, "<u4"), np.array(e.word_ids, np.int64)
+            cuts = np.flatnonzero(np.diff(number)) + 1
+            if len(cuts) + 1 == len(some):
+                for w, part in zip(some, np.split(ids, cuts)):
+                    self.parts[w] = part.tobytes()
+            else:
+                for w in some:
+                    self.parts[w] = _bytes(self.tokenizer.encode(w, add_special_tokens=False).ids)
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
+def _encoder(path: str) -> Encoder:
+    held = sys.__dict__.setdefault("_kinmesh_encoders", {})  # outlives a task
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> DataFrame:
