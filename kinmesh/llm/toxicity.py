@@ -238,9 +238,10 @@ def train_model(train: DataFrame) -> Model:
 
     order = F.xxhash64("doc_id")
     some = None
-    for kind in (True, False):
-        part = train.filter(F.col("toxic") == kind).orderBy(order, "doc_id").select("text", "toxic").limit(FIT_ROWS)
+    for kind in (True, False):  # ids alone are ordered, then their texts are looked up
+        part = train.filter(F.col("toxic") == kind).select("doc_id").orderBy(order, "doc_id").limit(FIT_ROWS)
         some = part if some is None else some.union(part)
+    some = train.join(F.broadcast(stage(some.distinct(), "fit-ids")), "doc_id").select("text", "toxic")
     rows = some.mapInArrow(measured, "total double, rate double, toxic boolean").collect()
     y = np.array([r["toxic"] for r in rows], float)
     x = np.array([(r["total"], r["rate"]) for r in rows], float)
