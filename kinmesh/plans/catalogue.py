@@ -1,11 +1,207 @@
-"""Registered queries of the linkage engine and their SQL equivalents."""
+"""Registered queries of the linkage engine.
+
+All of them read the linkage views over the driver's tables whole.  Queries over one
+session and folder share one run of the linkage plan, whose frames are persisted."""
 
 from __future__ import annotations
 
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import audit, blocking, decode, features, model, proxy, reports, score
+from ..operators.normalise import normalise
+from ..sources import tsv
+from ..streaming import chunks
+from . import linkage
+from .oracles import oracles
+from .views import views
+
+_runs: dict = {}
+
+
+class Run:
+    """A linkage run over one folder; its parts are made when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.raw_s1, self.raw_fr = views(spark, sf_dir)
+        self._linked = None
+
+    @property
+    def linked(self) -> linkage.Linked:
+        if self._linked is None:
+            fr = self.raw_fr.drop("true_s1")
+            self._linked = linkage.block(self.raw_s1, fr)
+        return self._linked
+
+    @property
+    def s1(self) -> DataFrame:
+        return self.linked.s1
+
+    @property
+    def fr(self) -> DataFrame:
+        return self.linked.frags
+
+    @property
+    def spine(self) -> DataFrame:
+        return self.raw_s1.select(F.col("entity_id").alias("s1_id"), "country")
+
+    @property
+    def frag_ids(self) -> DataFrame:
+        return self.raw_fr.select(F.col("entity_id").alias("frag_id"))
+
+    @property
+    def truth(self) -> DataFrame:
+        return self.raw_fr.filter("true_s1 is not null").select(F.col("true_s1").alias("s1_id"), F.col("entity_id").alias("frag_id"))
+
+    @property
+    def pi(self) -> DataFrame:
+        return decode.softmax_null(decode.rank_marginals(self.linked.fused))
+
+    @property
+    def features(self) -> DataFrame:
+        return linkage.pair_features(self.linked)
+
+    @property
+    def scores(self) -> DataFrame:
+        return score.entity_scores(self.spine, self.truth, linkage.predict(self.linked))
+
+    def columns(self) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in ("business_name", "business_address")])
+        return self.raw_fr.select(F.explode(pairs).alias("x")).select("x.*")
+
+
+def run_of(spark: SparkSession, sf_dir: str) -> Run:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _runs:
+        _runs[key] = Run(spark, sf_dir)
+    return _runs[key]
+
 
+def _normalised(r: Run) -> DataFrame:
+    return normalise(r.raw_fr.drop("true_s1"))
+
+
+def _hits(c: DataFrame) -> DataFrame:
+    return c.select("frag_id", "s1_id", F.round("score", 6).alias("score"), "rank")
+
+
+def _by_k(r: Run) -> DataFrame:
+    deep = blocking.fuse(list(r.linked.channels.values()), r.linked.sure, max(reports.KS))
+    deep = deep.join(r.linked.sure.withColumn("sure", F.lit(True)), ["frag_id", "s1_id"], "left").na.fill(False, ["sure"])
+    return reports.by_k(r.truth, deep, r.frag_ids.agg(F.count("*").alias("n_frags")))
+
+
+def _features(r: Run, names: list[str]) -> DataFrame:
+    return r.features.select("frag_id", "s1_id", *[F.round(n, 6).alias(n) for n in names])
+
+
+def _validator(r: Run) -> DataFrame:
+    predicted = linkage.predict(r.linked).select("s1_id", "frag_id")
+    planted = predicted.filter("s1_id like '%7'").select("s1_id", F.lit("S2-unknown")).distinct()
+    lists = predicted.union(planted).groupBy("s1_id").agg(F.collect_list("frag_id").alias("ids"))
+    offered = r.linked.fused.groupBy("s1_id").agg(F.collect_list("frag_id").alias("ids"))
+    return score.violations(r.spine.select("s1_id"), r.frag_ids, lists, offered)
+
+
+def _gbt(r: Run) -> DataFrame:
+    pairs = model.training_pairs(r.features, r.truth).repartition(8, "frag_id").sortWithinPartitions("frag_id", "s1_id").persist()
+    train, _ = model.hold_out(pairs)
+    scored = model.PairScorer(maxIter=20).fit(train).predict(pairs)
+    predicted = linkage.predict(r.linked, scored)
+    return score.macro_f(score.entity_scores(r.spine, r.truth, predicted))
+
+
+def _dense(spark: SparkSession, d: str) -> DataFrame:
+    e = spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return _hits(blocking.dense(e.filter("id % 2 = 0"), e.filter("id % 2 = 1"), 10))
+
+
+def _source_ids(r: Run) -> DataFrame:
+    ids = r.raw_s1.select("entity_id", "country").union(r.raw_fr.select("entity_id", "country"))
+    return ids.withColumn("source", F.substring_index("entity_id", "-", 1))
+
+
+@cache
 def queries() -> dict:
-    return {}
+    """name -> callable(spark, sf_dir)."""
+    text = ["name_ratio", "name_core_ratio", "name_token_set", "name_token_sort", "name_jaro", "addr_ratio", "addr_token_set"]
+    weights = ["idf_jaccard", "idf_shared_sum", "idf_unshared_sum", "idf_rarest_shared"]
+    state = [n for n in features.NAMES if n not in (*text, *weights, "name_partial", "name_number_match", "script_mixed")]
+    joined = lambda c: F.array_join(c, ",").alias(c)
+    of = {
+        "normalise_name_address": lambda r: _normalised(r).select("entity_id", "name_norm", "addr_norm", "country_norm"),
+        "legal_suffixes": lambda r: _normalised(r).select("entity_id", "name_core", F.array_join("legal_suffixes", ",").alias("suffixes"), F.array_join("suffix_countries", ",").alias("countries")),
+        "name_tokens_phonetic": lambda r: _normalised(r).select("entity_id", F.array_join("name_tokens", " ").alias("name_tokens"), "name_core_ascii", "phonetic_key"),
+        "postcode_numbers": lambda r: _normalised(r).select("entity_id", "postcode", "addr_numbers.*", "landmark_flag").drop("has_cedex").select("entity_id", "postcode", "house_number", joined("units"), joined("all_numbers"), "landmark_flag"),
+        "placeholder_flags": lambda r: _normalised(r).select("entity_id", "name_missing", "addr_missing"),
+        "token_idf": lambda r: r.linked.idf.select("token", "df", F.round("idf", 6).alias("idf")),
+        "high_df_tokens": lambda r: audit.frequent_tokens(audit.document_frequency(r.s1, T.edge_trimmed_tokens(F.col("name_norm")))),
+        "char_tfidf_topk": lambda r: _hits(r.linked.channels["char"]),
+        "bm25_topk": lambda r: _hits(r.linked.channels["bm25"]),
+        "key_candidates": lambda r: _hits(r.linked.channels["keys"]).drop("rank"),
+        "confident_key_hits": lambda r: r.linked.sure,
+        "rrf_fusion": lambda r: r.linked.fused.withColumn("rrf_score", F.round("rrf_score", 6)),
+        "invert_candidates": lambda r: blocking.invert(r.linked.fused).select("s1_id", joined("frag_ids")),
+        "pair_completeness": lambda r: reports.completeness(r.truth, r.linked.fused),
+        "reduction_ratio": lambda r: reports.reduction(r.linked.fused, r.raw_s1, r.raw_fr),
+        "entity_ceiling": lambda r: reports.ceiling(r.spine, r.truth, r.linked.fused),
+        "candidates_per_fragment": lambda r: reports.per_fragment(r.frag_ids, r.linked.fused),
+        "pc_vs_k": _by_k,
+        "blocking_slices": lambda r: reports.slices(r.truth, r.linked.fused, r.s1.select(F.col("entity_id").alias("s1_id"), F.col("country_norm").alias("country"))),
+        "channel_reach": lambda r: reports.reach(r.linked.channels),
+        "blocking_gate": lambda r: reports.gate(_by_k(r)),
+        "pair_features_text": lambda r: _features(r, text),
+        "pair_features_idf": lambda r: _features(r, weights),
+        "pair_features_state": lambda r: _features(r, state),
+        "pair_features_all": lambda r: r.features,
+        "softmax_null": lambda r: r.pi.select("frag_id", "s1_id", F.round("pi", 6).alias("pi"), F.round("pi_null", 6).alias("pi_null")),
+        "poisson_binomial": _pmf_of,
+        "expected_f05_decode": lambda r: decode.decode(r.pi).select("s1_id", "frag_id", F.round("pi", 6).alias("pi"), F.round("ef", 6).alias("ef")),
+        "exclusivity_guard": lambda r: linkage.predict(r.linked).withColumn("pi", F.round("pi", 6)),
+        "submission_rows": lambda r: tsv.submission_rows(r.spine, linkage.predict(r.linked)),
+        "macro_f05": lambda r: score.macro_f(r.scores),
+        "macro_f05_slices": lambda r: score.macro_slices(r.scores, r.spine),
+        "vendor_breakdown": lambda r: score.vendor_breakdown(r.truth, linkage.predict(r.linked)),
+        "validator_violations": _validator,
+        "gbt_macro_f05": _gbt,
+        "country_report": lambda r: audit.countries(_source_ids(r)),
+        "unseen_labels": lambda r: audit.unseen_labels(r.raw_s1, r.raw_s1.filter("country <> 'France'")),
+        "cross_country": _cross,
+        "multi_owner": lambda r: audit.multi_owner(r.truth.select("s1_id", F.substring("frag_id", 1, 9).alias("frag_id"))),
+        "per_vendor_matches": lambda r: audit.per_vendor(r.truth),
+        "cardinality_histogram": lambda r: audit.cardinalities(r.spine, r.truth),
+        "cardinality_by_country": lambda r: audit.cardinality_by_country(r.spine, r.truth),
+        "orphan_report": lambda r: audit.orphans(r.frag_ids, r.truth),
+        "differing_tokens": lambda r: audit.differing_tokens(r.truth, r.fr, r.s1),
+        "placeholder_discovery": lambda r: audit.placeholders(r.columns()),
+        "literal_na_counts": lambda r: audit.na_marks(r.columns()),
+        "scale_report": lambda r: _source_ids(r).groupBy("source").agg(F.count("*").alias("n")),
+        "namespace_violations": lambda r: audit.namespace({"S2": r.raw_fr, "S3": r.raw_fr.filter("entity_id like 'S3-%'")}),
+        "eyeball_sample": lambda r: audit.eyeball(r.raw_fr.filter("country = 'India'")),
+        "s1_first_sample": lambda r: proxy.sample(r.raw_s1, r.raw_fr.drop("true_s1"), r.truth, 200)[1],
+        "chunked_linkage": lambda r: chunks.chunked_hits(r.raw_s1, r.raw_fr.drop("true_s1")),
+    }
+    out = {name: (lambda spark, d, f=f: f(run_of(spark, d))) for name, f in of.items()}
+    out["dense_topk"] = _dense
+    out["script_census"] = lambda spark, d: audit.script_census(spark.read.parquet(f"{d}/documents.parquet").select(F.col("lang").alias("grp"), "text"))
+    out["proxy_generate"] = lambda spark, d: proxy.generate(spark).frames["S2"]
+    return out
+
+
+def _pmf_of(r: Run) -> DataFrame:
+    live = r.pi.filter(F.col("pi") >= decode.FLOOR)
+    lists = live.groupBy("s1_id").agg(F.array_sort(F.collect_list(F.struct((-F.round("pi", 12)).alias("n"), "frag_id", "pi"))).alias("x"))
+    pmf = decode.poisson_binomial(F.transform("x", lambda x: x["pi"]))
+    return lists.select("s1_id", F.posexplode(pmf).alias("k", "p")).select("s1_id", F.col("k").cast("long").alias("k"), F.round("p", 6).alias("p"))
+
+
+def _cross(r: Run) -> DataFrame:
+    moved = r.raw_fr.select("entity_id", F.when(F.col("entity_id").endswith("7"), "atlantis").otherwise(F.lower("country")).alias("country_norm"))
+    return audit.cross_country(r.truth, moved, r.raw_s1.select("entity_id", F.lower("country").alias("country_norm")))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles()
