@@ -62,10 +62,10 @@ def _jw(a: str, b: str) -> float:
     if not mine:
         return 0.0
     other = [c for c, u in zip(b, used) if u]
-    m, swaps = len(mine), sum(x != y for x, y in zip(mine, other)) / 2
+    m, swaps = len(mine), sum(x != y for x, y in zip(mine, other)) // 2
     jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
     prefix = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4])) if x != y), min(4, len(a), len(b)))
-    return jaro + prefix * 0.1 * (1 - jaro)
+    return jaro + prefix * 0.1 * (1 - jaro) if jaro > 0.7 else jaro
 
 
 @F.pandas_udf(DoubleType())
