@@ -22,6 +22,12 @@ def softmax_null(scores: DataFrame, null: float = 1.0) -> DataFrame:
     return w.select("frag_id", "s1_id", F.when(z > 0, F.col("w") / z).otherwise(0.0).alias("pi"), F.when(z > 0, F.lit(null) / z).otherwise(1.0).alias("pi_null"))
 
 
+def _let(value: Column, body) -> Column:
+    """body over a value that is computed once: an expression inside a lambda would be
+    computed anew at each of its calls."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _grow(pmf: Column, p: Column) -> Column:
     """One more trial: stay with 1 - p, move up by one with p."""
     zero = F.array(F.lit(0.0))
@@ -38,14 +44,22 @@ def poisson(rate: Column, most: int = LAMBDA_TERMS) -> Column:
     """A Poisson law cut at `most` and scaled to one; rate 0 or less is no event."""
     steps = F.sequence(F.lit(1), F.lit(most))
     raw = F.aggregate(steps, F.array(F.lit(1.0)), lambda a, k: F.array_append(a, F.element_at(a, -1) * rate / k))
-    total = F.aggregate(raw, F.lit(0.0), lambda a, x: a + x)
-    return F.when(rate > 0, F.transform(raw, lambda x: x / total)).otherwise(F.array(F.lit(1.0)))
+    total = lambda r: F.aggregate(r, F.lit(0.0), lambda a, x: a + x)
+    scaled = _let(F.struct(raw.alias("raw"), total(raw).alias("sum")), lambda v: F.transform(v["raw"], lambda x: x / v["sum"]))
+    return F.when(rate > 0, scaled).otherwise(F.array(F.lit(1.0)))
 
 
 def _convolved(a: Column, b: Column) -> Column:
-    n = F.size(a) + F.size(b) - 1
-    at = lambda i: F.aggregate(F.sequence(F.greatest(F.lit(0), i - F.size(b) + 1), F.least(i, F.size(a) - 1)), F.lit(0.0), lambda s, j: s + F.get(a, j) * F.get(b, i - j))
-    return F.transform(F.sequence(F.lit(0), n - 1), at)
+    def body(v):
+        x, y = v["x"], v["y"]
+
+        def at(i):
+            js = F.sequence(F.greatest(F.lit(0), i - F.size(y) + 1), F.least(i, F.size(x) - 1))
+            return F.aggregate(js, F.lit(0.0), lambda s, j: s + F.get(x, j) * F.get(y, i - j))
+
+        return F.transform(F.sequence(F.lit(0), F.size(x) + F.size(y) - 2), at)
+
+    return _let(F.struct(a.alias("x"), b.alias("y")), body)
 
 
 def expected_f(q: Column, k: Column, unseen: Column) -> Column:
@@ -53,11 +67,16 @@ def expected_f(q: Column, k: Column, unseen: Column) -> Column:
     inside = poisson_binomial(F.slice(q, F.lit(1), k))
     outside = _convolved(poisson_binomial(F.slice(q, k + 1, F.greatest(F.size(q) - k, F.lit(0)))), poisson(unseen))
 
-    def over_b(a, pa):
-        return F.aggregate(F.sequence(F.lit(0), F.size(outside) - 1), F.lit(0.0), lambda s, b: s + pa * F.get(outside, b) * 1.25 * a / (0.25 * (a + b) + k))
+    def body(v):
+        inn, out = v["inn"], v["out"]
+
+        def over_b(a):
+            return F.aggregate(F.sequence(F.lit(0), F.size(out) - 1), F.lit(0.0), lambda s, b: s + F.get(inn, a) * F.get(out, b) * 1.25 * a / (0.25 * (a + b) + k))
+
+        total = F.aggregate(F.sequence(F.lit(0), F.size(inn) - 1), F.lit(0.0), lambda s, a: s + F.when(a >= 1, over_b(a)).otherwise(0.0))
+        return F.when(k == 0, F.get(out, F.lit(0))).otherwise(total)
 
-    total = F.aggregate(F.sequence(F.lit(0), F.size(inside) - 1), F.lit(0.0), lambda s, a: s + F.when(a >= 1, over_b(a, F.get(inside, a))).otherwise(0.0))
-    return F.when(k == 0, F.get(outside, F.lit(0))).otherwise(total)
+    return _let(F.struct(inside.alias("inn"), outside.alias("out")), body)
 
 
 def decode(pi: DataFrame, unseen: float = 0.0, floor: float = FLOOR) -> DataFrame:

@@ -1,7 +1,7 @@
 """Registered queries of the linkage engine.
 
 All of them read the linkage views over the driver's tables whole.  Queries over one
-session and folder share one run of the linkage plan, whose frames are persisted."""
+session and folder share one run of the linkage plan, whose stages are tables."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from ..functions import text as T
 from ..operators import audit, blocking, decode, features, model, proxy, reports, score
 from ..operators.normalise import normalise
 from ..sources import tsv
+from ..sources.staging import stage
 from ..streaming import chunks
 from . import linkage
 from .oracles import oracles
@@ -27,7 +28,13 @@ class Run:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.raw_s1, self.raw_fr = views(spark, sf_dir)
-        self._linked = None
+        self._linked = self._features = self._predicted = self._pi = None
+
+    @property
+    def predicted(self) -> DataFrame:
+        if self._predicted is None:
+            self._predicted = stage(linkage.predict(self.linked), "predicted")
+        return self._predicted
 
     @property
     def linked(self) -> linkage.Linked:
@@ -58,15 +65,19 @@ class Run:
 
     @property
     def pi(self) -> DataFrame:
-        return decode.softmax_null(decode.rank_marginals(self.linked.fused))
+        if self._pi is None:
+            self._pi = stage(decode.softmax_null(decode.rank_marginals(self.linked.fused)), "pi")
+        return self._pi
 
     @property
     def features(self) -> DataFrame:
-        return linkage.pair_features(self.linked)
+        if self._features is None:
+            self._features = stage(linkage.pair_features(self.linked), "features")
+        return self._features
 
     @property
     def scores(self) -> DataFrame:
-        return score.entity_scores(self.spine, self.truth, linkage.predict(self.linked))
+        return score.entity_scores(self.spine, self.truth, self.predicted)
 
     def columns(self) -> DataFrame:
         pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in ("business_name", "business_address")])
@@ -98,8 +109,15 @@ def _features(r: Run, names: list[str]) -> DataFrame:
     return r.features.select("frag_id", "s1_id", *[F.round(n, 6).alias(n) for n in names])
 
 
+def _jaro(r: Run) -> DataFrame:
+    plain = ~T.has_non_ascii(F.col("name_core"))
+    f = r.fr.filter(plain).select(F.col("entity_id").alias("frag_id"))
+    s = r.s1.filter(plain).select(F.col("entity_id").alias("s1_id"))
+    return _features(r, ["name_jaro"]).join(f, "frag_id", "left_semi").join(s, "s1_id", "left_semi")
+
+
 def _validator(r: Run) -> DataFrame:
-    predicted = linkage.predict(r.linked).select("s1_id", "frag_id")
+    predicted = r.predicted.select("s1_id", "frag_id")
     planted = predicted.filter("s1_id like '%7'").select("s1_id", F.lit("S2-unknown")).distinct()
     lists = predicted.union(planted).groupBy("s1_id").agg(F.collect_list("frag_id").alias("ids"))
     offered = r.linked.fused.groupBy("s1_id").agg(F.collect_list("frag_id").alias("ids"))
@@ -107,7 +125,8 @@ def _validator(r: Run) -> DataFrame:
 
 
 def _gbt(r: Run) -> DataFrame:
-    pairs = model.training_pairs(r.features, r.truth).repartition(8, "frag_id").sortWithinPartitions("frag_id", "s1_id").persist()
+    pairs = model.training_pairs(r.features, r.truth).repartition(8, "frag_id").sortWithinPartitions("frag_id", "s1_id")
+    pairs = stage(pairs, "pairs")
     train, _ = model.hold_out(pairs)
     scored = model.PairScorer(maxIter=20).fit(train).predict(pairs)
     predicted = linkage.predict(r.linked, scored)
@@ -127,9 +146,9 @@ def _source_ids(r: Run) -> DataFrame:
 @cache
 def queries() -> dict:
     """name -> callable(spark, sf_dir)."""
-    text = ["name_ratio", "name_core_ratio", "name_token_set", "name_token_sort", "name_jaro", "addr_ratio", "addr_token_set"]
+    text = ["name_ratio", "name_core_ratio", "name_token_set", "name_token_sort", "addr_ratio", "addr_token_set"]
     weights = ["idf_jaccard", "idf_shared_sum", "idf_unshared_sum", "idf_rarest_shared"]
-    state = [n for n in features.NAMES if n not in (*text, *weights, "name_partial", "name_number_match", "script_mixed")]
+    state = [n for n in features.NAMES if n not in (*text, *weights, "name_jaro", "name_partial", "name_number_match", "script_mixed")]
     joined = lambda c: F.array_join(c, ",").alias(c)
     of = {
         "normalise_name_address": lambda r: _normalised(r).select("entity_id", "name_norm", "addr_norm", "country_norm"),
@@ -153,6 +172,7 @@ def queries() -> dict:
         "blocking_slices": lambda r: reports.slices(r.truth, r.linked.fused, r.s1.select(F.col("entity_id").alias("s1_id"), F.col("country_norm").alias("country"))),
         "channel_reach": lambda r: reports.reach(r.linked.channels),
         "blocking_gate": lambda r: reports.gate(_by_k(r)),
+        "pair_name_jaro": _jaro,
         "pair_features_text": lambda r: _features(r, text),
         "pair_features_idf": lambda r: _features(r, weights),
         "pair_features_state": lambda r: _features(r, state),
@@ -160,11 +180,11 @@ def queries() -> dict:
         "softmax_null": lambda r: r.pi.select("frag_id", "s1_id", F.round("pi", 6).alias("pi"), F.round("pi_null", 6).alias("pi_null")),
         "poisson_binomial": _pmf_of,
         "expected_f05_decode": lambda r: decode.decode(r.pi).select("s1_id", "frag_id", F.round("pi", 6).alias("pi"), F.round("ef", 6).alias("ef")),
-        "exclusivity_guard": lambda r: linkage.predict(r.linked).withColumn("pi", F.round("pi", 6)),
-        "submission_rows": lambda r: tsv.submission_rows(r.spine, linkage.predict(r.linked)),
+        "exclusivity_guard": lambda r: r.predicted.withColumn("pi", F.round("pi", 6)),
+        "submission_rows": lambda r: tsv.submission_rows(r.spine, r.predicted),
         "macro_f05": lambda r: score.macro_f(r.scores),
         "macro_f05_slices": lambda r: score.macro_slices(r.scores, r.spine),
-        "vendor_breakdown": lambda r: score.vendor_breakdown(r.truth, linkage.predict(r.linked)),
+        "vendor_breakdown": lambda r: score.vendor_breakdown(r.truth, r.predicted),
         "validator_violations": _validator,
         "gbt_macro_f05": _gbt,
         "country_report": lambda r: audit.countries(_source_ids(r)),

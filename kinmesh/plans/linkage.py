@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import blocking, decode, features
 from ..operators.normalise import normalise
+from ..sources.staging import stage
 
 
 @dataclass
@@ -23,7 +24,7 @@ class Config:
 
 @dataclass
 class Linked:
-    """Frames of a run; each is lazy, and those that several others read are persisted."""
+    """Frames of a run; those that several others read are staged as tables."""
 
     s1: DataFrame
     frags: DataFrame
@@ -37,18 +38,18 @@ class Linked:
 def block(s1: DataFrame, frags: DataFrame, config: Config | None = None, embeddings: tuple | None = None) -> Linked:
     """s1, frags: sources.  embeddings: (masters, fragments) as (id, vector) if config names the dense channel."""
     config = config or Config()
-    s, f = normalise(s1).persist(), normalise(frags).persist()
-    idf = blocking.idf(s, T.edge_trimmed_tokens(F.col("name_norm"))).persist()
-    hits = blocking.key_hits(s, f, idf)
+    s, f = stage(normalise(s1), "masters"), stage(normalise(frags), "fragments")
+    idf = stage(blocking.idf(s, T.edge_trimmed_tokens(F.col("name_norm"))), "idf")
+    hits = stage(blocking.key_hits(s, f, idf), "key-hits")
     made = {
         "char": lambda: blocking.char_tfidf(s, f, config.top_n),
         "bm25": lambda: blocking.bm25(s, f, limit=config.top_n),
         "keys": lambda: blocking.key_channel(hits),
         "dense": lambda: blocking.dense(*(embeddings or (None, None)), limit=config.top_n),
     }
-    out = Linked(s, f, idf, hits, {name: made[name]().persist() for name in config.channels})
+    out = Linked(s, f, idf, hits, {name: stage(made[name](), name) for name in config.channels})
     out.sure = blocking.confident(hits)
-    out.fused = blocking.fuse(list(out.channels.values()), out.sure, config.k).persist()
+    out.fused = stage(blocking.fuse(list(out.channels.values()), out.sure, config.k), "fused")
     return out
 
 
@@ -70,4 +71,4 @@ def predict(linked: Linked, scores: DataFrame | None = None, config: Config | No
     """(s1_id, frag_id, pi).  scores: (frag_id, s1_id, p) of a model; the fused rank stands in without one."""
     config = config or Config()
     p = decode.rank_marginals(linked.fused) if scores is None else scores
-    return decode.predict(decode.softmax_null(p, config.null), config.unseen)
+    return decode.predict(stage(decode.softmax_null(p, config.null), "pi"), config.unseen)

@@ -239,7 +239,9 @@ SELECT slice, value, count(*) AS true_pairs, round(count(*) FILTER (WHERE hit) /
     one = lambda x, y: f"(len({words(x)}) >= 2 AND list_contains({words(y)}, {initials.format(x=words(x))}))"
     differ = lambda a, b: f"len(list_filter({a}, lambda t: NOT list_contains({b}, t) AND list_contains({branch}, t))) > 0"
     q["pair_features_text"] = f"""{PAIRS} SELECT frag_id, s1_id, round({_bag('fn', 'sn')}, 6) AS name_ratio, round({_bag('fc', 'sc')}, 6) AS name_core_ratio, round({_set('fc', 'sc')}, 6) AS name_token_set,
-round({_bag(_sorted('fc'), _sorted('sc'))}, 6) AS name_token_sort, round(CASE WHEN fc = '' OR sc = '' THEN 0.0 ELSE jaro_winkler_similarity(fc, sc) END, 6) AS name_jaro, round({_bag('fa', 'sa')}, 6) AS addr_ratio, round({_set('fa', 'sa')}, 6) AS addr_token_set FROM pairs"""
+round({_bag(_sorted('fc'), _sorted('sc'))}, 6) AS name_token_sort, round({_bag('fa', 'sa')}, 6) AS addr_ratio, round({_set('fa', 'sa')}, 6) AS addr_token_set FROM pairs"""
+    # DuckDB compares bytes, the engine characters: the same for ASCII names alone
+    q["pair_name_jaro"] = rf"{PAIRS} SELECT frag_id, s1_id, round(CASE WHEN fc = '' OR sc = '' THEN 0.0 ELSE jaro_winkler_similarity(fc, sc) END, 6) AS name_jaro FROM pairs WHERE NOT regexp_matches(concat(fc, sc), '[^\x00-\x7F]')"
     q["pair_features_state"] = f"""{PAIRS} SELECT frag_id, s1_id, round(rrf_score, 6) AS rrf_score, CAST(rrf_rank AS DOUBLE) AS rrf_rank, {_three('fh', 'sh')} AS house_state, {_three("array_to_string(fu, ',')", "array_to_string(su, ',')")} AS unit_state,
 CASE WHEN coalesce(fp, '') = '' OR coalesce(sp, '') = '' THEN 0.0 WHEN fp = sp THEN 1.0 WHEN substr(fp, 1, 3) = substr(sp, 1, 3) THEN 2.0 ELSE 3.0 END AS postcode_state,
 CASE WHEN len(fl) = 0 OR len(sl) = 0 THEN 0.0 WHEN list_has_any(fl, sl) THEN 1.0 ELSE 2.0 END AS suffix_state, CASE WHEN {one('fc', 'sc')} OR {one('sc', 'fc')} THEN 1.0 ELSE 0.0 END AS acronym,

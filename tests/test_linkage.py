@@ -288,3 +288,17 @@ def test_proxy_and_run(spark):
     assert s1.count() == 10 and some.count() == some.select("entity_id").distinct().count()
     streamed = chunks.chunked_hits(p.frames["S1"], fr.limit(20), 2)
     assert streamed.select("frag_id").distinct().count() > 0
+
+
+def test_command_line_runs(spark, tmp_path):
+    from kinmesh.plans import run
+
+    p = proxy.generate(spark, proxy.ProxyConfig(n_entities=40))
+    for n in (1, 2, 3):
+        tsv.write_source(p.frames[f"S{n}"], str(tmp_path / f"source{n}.tsv"))
+    lists = tsv.submission_rows(p.frames["S1"].select(F.col("entity_id").alias("s1_id")), p.truth)
+    lists.coalesce(1).write.option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(str(tmp_path / "a_ground_truth.tsv"))
+    found = run.audit_folder(spark, str(tmp_path))
+    assert sum(r["n"] for r in found["scale"]) > 60 and found["namespace"] == 0 and found["unknown_truth_ids"] == 0
+    report = run.link(spark, str(tmp_path), str(tmp_path / "out"), str(tmp_path / "model"), model_params={"maxIter": 3})
+    assert report["violations"] == 0 and report["all"][0]["n"] == 40
