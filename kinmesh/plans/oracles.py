@@ -210,13 +210,13 @@ def oracles() -> dict[str, str]:
     q["token_idf"] = f"{WITH},{NORMS},{IDF} SELECT token, df, round(idf, 6) AS idf FROM idf"
     q["high_df_tokens"] = f"""{WITH},{NORMS},{IDF}, o AS (SELECT token, df, row_number() OVER (ORDER BY df) - 1 AS i, count(*) OVER () AS n FROM idf)
 SELECT token, df FROM idf WHERE df >= (SELECT min(df) FROM o WHERE i >= least(n - 1, floor(n * 0.99)))"""
-    q["char_tfidf_topk"] = f"{WITH},{NORMS},{CHAR} SELECT frag_id, s1_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM char"
-    q["bm25_topk"] = f"{WITH},{NORMS},{BM25} SELECT frag_id, s1_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM bm25"
-    q["key_candidates"] = f"{WITH},{NORMS},{IDF},{KEYS} SELECT frag_id, s1_id, round(score, 6) AS score FROM keyed"
+    q["char_tfidf_topk"] = f"{WITH},{NORMS},{CHAR} SELECT frag_id, s1_id, floor(score * 1e6 + 1e-3) / 1e6 AS score, CAST(rank AS INTEGER) AS rank FROM char"
+    q["bm25_topk"] = f"{WITH},{NORMS},{BM25} SELECT frag_id, s1_id, floor(score * 1e6 + 1e-3) / 1e6 AS score, CAST(rank AS INTEGER) AS rank FROM bm25"
+    q["key_candidates"] = f"{WITH},{NORMS},{IDF},{KEYS} SELECT frag_id, s1_id, floor(score * 1e6 + 1e-3) / 1e6 AS score FROM keyed"
     q["confident_key_hits"] = f"{WITH},{NORMS},{IDF},{KEYS} SELECT frag_id, s1_id FROM sure"
     q["dense_topk"] = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
 s AS (SELECT CAST(a.vec_id AS VARCHAR) AS frag_id, CAST(b.vec_id AS VARCHAR) AS s1_id, round(list_cosine_similarity(a.e, b.e), 9) AS score FROM v a, v b WHERE a.vec_id % 2 = 1 AND b.vec_id % 2 = 0)
-SELECT frag_id, s1_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY frag_id ORDER BY score DESC, s1_id) - 1 AS rank FROM s) WHERE rank < 10"""
+SELECT frag_id, s1_id, floor(score * 1e6 + 1e-3) / 1e6 AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY frag_id ORDER BY score DESC, s1_id) - 1 AS rank FROM s) WHERE rank < 10"""
     q["rrf_fusion"] = f"{BLOCKED} SELECT frag_id, s1_id, round(rrf_score, 6) AS rrf_score, CAST(rrf_rank AS INTEGER) AS rrf_rank, forced FROM fused"
     q["invert_candidates"] = f"{BLOCKED} SELECT s1_id, string_agg(DISTINCT frag_id, ',' ORDER BY frag_id) AS frag_ids FROM fused GROUP BY 1"
     q["pair_completeness"] = f"{BLOCKED_T}, h AS ({HIT}) SELECT count(*) AS true_pairs, count(*) FILTER (WHERE hit) AS found_pairs, round(count(*) FILTER (WHERE hit) / count(*), 6) AS pair_completeness FROM h"
@@ -230,6 +230,7 @@ SELECT count(*) AS n, round(avg(c), 6) AS mean, min(c) AS least, max(c) AS most,
     q["pc_vs_k"] = f"""{BLOCKED_T},{fuse('deep', max(KS))}, x AS (SELECT d.*, t.s1_id IS NOT NULL AS hit, u.s1_id IS NOT NULL AS sure FROM deep d LEFT JOIN truth t ON d.frag_id = t.frag_id AND d.s1_id = t.s1_id LEFT JOIN sure u ON d.frag_id = u.frag_id AND d.s1_id = u.s1_id)
 SELECT CAST(k AS INTEGER) AS k, count(*) AS pairs, round(count(*) FILTER (WHERE hit) / (SELECT count(*) FROM truth), 6) AS pair_completeness, round(count(*) / (SELECT count(*) FROM fr), 6) AS per_fragment
 FROM x, (SELECT unnest({KS}) AS k) WHERE (NOT forced AND rrf_rank < k) OR sure GROUP BY k"""
+    q["blocking_gate"] = f"SELECT CAST(min(k) AS INTEGER) AS first_k FROM ({q['pc_vs_k']}) WHERE k <= 30 AND pair_completeness >= 0.99"
     q["blocking_slices"] = f"""{BLOCKED_T}, h AS ({HIT}), x AS (SELECT hit, 'country' AS slice, n.country_norm AS value FROM h JOIN n_s1 n ON n.entity_id = h.s1_id UNION ALL SELECT hit, 'vendor', split_part(frag_id, '-', 1) FROM h)
 SELECT slice, value, count(*) AS true_pairs, round(count(*) FILTER (WHERE hit) / count(*), 6) AS pair_completeness FROM x GROUP BY 1, 2"""
     q["channel_reach"] = f"{BLOCKED} SELECT 'char' AS channel, count(DISTINCT frag_id) AS fragments, count(*) AS hits FROM char UNION ALL SELECT 'bm25', count(DISTINCT frag_id), count(*) FROM bm25 UNION ALL SELECT 'keys', count(DISTINCT frag_id), count(*) FROM keyed"
