@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import small, stage
 
-SIZE, END, SALTS, CACHE = 2048, 0, 64, 1_000_000
+SIZE, END, SALTS, CACHE = 2048, 0, 64, 500_000
 #: Marks that the tokenizer parts from the letters before them, whatever these are.
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'<>")
 
