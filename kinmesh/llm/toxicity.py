@@ -37,7 +37,7 @@ MAX_TERMS, MAX_PHRASES, FIT_ROWS = 4096, 1024, 20_000
 MIN_PREFIX, MAX_PREFIX, MIN_ODDS = 4, 24, 2.5
 #: A term's counts must be this unlikely under the labels' shares (G statistic), and
 #: the words before it this varied: what one copied passage repeats is no abuse.
-MIN_SURPRISE, MIN_NEIGHBOURS = 20.0, 20
+MIN_SURPRISE, MIN_NEIGHBOURS = 20.0, 3
 #: Letters that look like Latin ones.
 HOMOGLYPHS = str.maketrans("аеорсухіјѕԁһкмтвнгп" + "αβεικνορτυχη", "aeopcyxijsdhkmtbhrn" + "abeiknoptuxn")
 #: Digits and symbols written for letters.
@@ -90,57 +90,83 @@ def _odds(toxic, clean, n_toxic, n_clean):
     return F.log((toxic + F.lit(0.5)) / (n_toxic + 1)) - F.log((clean + F.lit(0.5)) / (n_clean + 1))
 
 
-def _neighbours(train: DataFrame, terms: list[str]) -> dict[str, int]:
-    """How many different words stand before each term in toxic texts."""
+def _terms(word):
+    """The word and its beginnings."""
+    beginnings = F.transform(F.sequence(F.lit(MIN_PREFIX), F.length(word)), lambda n: F.concat(F.lit(" "), F.substring(word, F.lit(1), n)))
+    return F.concat(F.array(F.concat(F.lit(" "), word, F.lit(" "))), F.when(F.length(word) >= MIN_PREFIX, beginnings).otherwise(F.array().cast("array<string>")))
+
+
+def _neighbours(train: DataFrame, found: DataFrame) -> DataFrame:
+    """(term, count): how many different words stand before each term in toxic texts."""
 
     def run(batches):
-        auto = automaton(dict.fromkeys(terms, 0.0))
         for b in batches:
             own = set()
             for folded in b.column(0).to_pylist():
-                for end, (n, _) in auto.iter(folded) if len(auto) else ():
-                    start = end - n + 1
-                    own.add((folded[start : end + 1], folded[folded.rfind(" ", 0, start) + 1 : start]))
+                words = folded.split()
+                own.update((w[:MAX_PREFIX], before) for before, w in zip(["", *words], words) if len(w) >= 3)
             cols = list(zip(*own)) or [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string())], ["term", "before"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string())], ["word", "before"])
 
-    pairs = train.filter("toxic").select("text").mapInArrow(run, "term string, before string").distinct()
-    return {r["term"]: r["count"] for r in pairs.groupBy("term").count().collect()}  # one row a term
+    pairs = train.filter("toxic").select("text").mapInArrow(run, "word string, before string")
+    pairs = pairs.select(F.explode(_terms(F.col("word"))).alias("term"), "before").join(small(found.select("term")), "term")
+    return pairs.distinct().groupBy("term").count()
 
 
-def learn_terms(train: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
-    """' word ' and ' beginning' with log odds.  A beginning stands only for what it adds:
-    it is lengthened as long as nine tenths of its toxic texts stay with one longer one."""
-    counts = train.select("text", "toxic").mapInArrow(_incidence, "word string, toxic long, clean long")
-    counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    terms = F.concat(
-        F.array(F.concat(F.lit(" "), F.col("word"), F.lit(" "))),
-        F.when(F.length("word") >= MIN_PREFIX, F.transform(F.sequence(F.lit(MIN_PREFIX), F.length("word")), lambda n: F.concat(F.lit(" "), F.substring(F.col("word"), F.lit(1), n)))).otherwise(F.array().cast("array<string>")),
-    )
-    least, share = max(3, round(0.004 * n_toxic)), n_toxic / (n_toxic + n_clean)
-    scored = counts.select(F.explode(terms).alias("term"), "toxic", "clean").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    both = F.col("toxic") + F.col("clean")
-    surprise = F.col("toxic") * F.log(F.col("toxic") / (both * share)) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (both * (1 - share)))).otherwise(0.0)
-    scored = scored.filter((F.col("toxic") >= least) & (2 * surprise >= MIN_SURPRISE)).withColumn("odds", _odds(F.col("toxic"), F.col("clean"), n_toxic, n_clean)).filter(F.col("odds") >= MIN_ODDS)
-    rows = scored.orderBy(F.desc(F.col("odds") * F.log1p("toxic")), "term").limit(4 * MAX_TERMS).collect()
-    found = {r["term"]: (r["toxic"], r["odds"]) for r in rows}
+def _merge(found: dict[str, tuple[int, float]]) -> list[str]:
+    """The terms that stand for all of them."""
     longer: dict[str, str] = {}
-    for t in found:  # ' worthless ' lengthens ' worthless', ' wort' lengthens ' wor'
+    for t in sorted(found):  # ' worthless ' lengthens ' worthless', ' wort' lengthens ' wor'
         shorter = t[:-1]
         if shorter in found and found[t][0] >= found[longer.get(shorter, t)][0]:
             longer[shorter] = t
-    out: dict[str, float] = {}
-    for t in sorted(found, key=len):
+    out: dict[str, None] = {}
+    for t in sorted(found, key=lambda t: (len(t), t)):
         if any(t[:n] in out for n in range(2, len(t))):
             continue
         end = t
         while end in longer and found[longer[end]][0] >= 0.9 * found[t][0]:
             end = longer[end]
-        out[end] = found[end][1]
-    spread = _neighbours(train, list(out))
-    out = {t: w for t, w in out.items() if spread.get(t, 0) >= min(MIN_NEIGHBOURS, max(3, 0.2 * found[t][0]))}
-    best = sorted(out, key=lambda t: (-found[t][1] * math.log1p(found[t][0]), t))[:MAX_TERMS]
-    return {t: out[t] for t in best}
+        out[end] = None
+    return list(out)
+
+
+def merged(scored: DataFrame) -> DataFrame:
+    """(term, toxic, odds) without the terms that another one stands for.  One's beginnings share its first letters."""
+
+    def run(batches):
+        def out(found):
+            rows = [(t, *found[t]) for t in _merge(found)]
+            cols = list(zip(*rows)) or [[], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.float64()))], ["term", "toxic", "odds"])
+
+        last, found = None, {}
+        for b in batches:
+            for start, term, toxic, odds in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if start != last:
+                    yield out(found)
+                    last, found = start, {}
+                found[term] = toxic, odds
+        yield out(found)
+
+    keyed = scored.select(F.substring("term", 1, MIN_PREFIX + 1).alias("start"), "term", "toxic", "odds")
+    return keyed.repartition("start").sortWithinPartitions("start").mapInArrow(run, "term string, toxic long, odds double")
+
+
+def learn_terms(train: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
+    """' word ' and ' beginning' with log odds.  A beginning stands only for what it adds:
+    it is lengthened as long as nine tenths of its toxic texts stay with one longer one."""
+    counts = train.select("text", "toxic").mapInArrow(_incidence, "word string, toxic long, clean long")
+    counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    share = n_toxic / (n_toxic + n_clean)
+    scored = counts.select(F.explode(_terms(F.col("word"))).alias("term"), "toxic", "clean").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    both = F.col("toxic") + F.col("clean")
+    surprise = F.col("toxic") * F.log(F.col("toxic") / (both * share)) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (both * (1 - share)))).otherwise(0.0)
+    scored = scored.filter((F.col("toxic") > 0) & (2 * surprise >= MIN_SURPRISE)).withColumn("odds", _odds(F.col("toxic"), F.col("clean"), n_toxic, n_clean)).filter(F.col("odds") >= MIN_ODDS)
+    found = stage(merged(scored), "terms")
+    varied = found.join(_neighbours(train, found), "term").filter(F.col("count") >= MIN_NEIGHBOURS)
+    rows = varied.orderBy(F.desc(F.col("odds") * F.log1p("toxic")), "term").limit(MAX_TERMS).collect()
+    return {r["term"]: r["odds"] for r in rows}
 
 
 def automaton(terms: dict[str, float]):
