@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -139,6 +139,14 @@ def _dense(spark: SparkSession, d: str) -> DataFrame:
     return _hits(blocking.dense(e.filter("id % 2 = 0"), e.filter("id % 2 = 1"), 10))
 
 
+def _dense_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every vector against all others."""
+    e = spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    others = blocking.dense(e, e, 11).filter("frag_id <> s1_id")
+    rank = F.row_number().over(Window.partitionBy("frag_id").orderBy(F.desc("score"), "s1_id")) - 1
+    return _hits(others.withColumn("rank", rank).filter("rank < 10"))
+
+
 def _source_ids(r: Run) -> DataFrame:
     ids = r.raw_s1.select("entity_id", "country").union(r.raw_fr.select("entity_id", "country"))
     return ids.withColumn("source", F.substring_index("entity_id", "-", 1))
@@ -207,6 +215,7 @@ def queries() -> dict:
     }
     out = {name: (lambda spark, d, f=f: f(run_of(spark, d))) for name, f in of.items()}
     out["dense_topk"] = _dense
+    out["dense_topk_all"] = _dense_all
     out["script_census"] = lambda spark, d: audit.script_census(spark.read.parquet(f"{d}/documents.parquet").select(F.col("lang").alias("grp"), "text"))
     out["proxy_generate"] = lambda spark, d: proxy.generate(spark).frames["S2"]
     return out
