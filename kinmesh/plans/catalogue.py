@@ -1,6 +1,7 @@
 """Registered queries of the linkage engine.
 
-All of them read the linkage views over the driver's tables whole.  Queries over one
+Linkage queries read the views, whose SQL holds a third of the orders; those named
+_all_orders, without SQL, take every order as a fragment.  Queries over one
 session and folder share one run of the linkage plan, whose stages are tables."""
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ _runs: dict = {}
 class Run:
     """A linkage run over one folder; its parts are made when first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.raw_s1, self.raw_fr = views(spark, sf_dir)
+    def __init__(self, spark: SparkSession, sf_dir: str, whole: bool = False):
+        self.raw_s1, self.raw_fr = views(spark, sf_dir, whole)
         self._linked = self._features = self._predicted = self._pi = None
 
     @property
@@ -84,10 +85,10 @@ class Run:
         return self.raw_fr.select(F.explode(pairs).alias("x")).select("x.*")
 
 
-def run_of(spark: SparkSession, sf_dir: str) -> Run:
-    key = (spark.sparkContext.applicationId, sf_dir)
+def run_of(spark: SparkSession, sf_dir: str, whole: bool = False) -> Run:
+    key = (spark.sparkContext.applicationId, sf_dir, whole)
     if key not in _runs:
-        _runs[key] = Run(spark, sf_dir)
+        _runs[key] = Run(spark, sf_dir, whole)
     return _runs[key]
 
 
@@ -214,6 +215,7 @@ def queries() -> dict:
         "chunked_linkage": lambda r: chunks.chunked_hits(r.raw_s1, r.raw_fr.drop("true_s1")),
     }
     out = {name: (lambda spark, d, f=f: f(run_of(spark, d))) for name, f in of.items()}
+    out |= {f"{name}_all_orders": (lambda spark, d, f=f: f(run_of(spark, d, True))) for name, f in of.items()}
     out["dense_topk"] = _dense
     out["dense_topk_all"] = _dense_all
     out["script_census"] = lambda spark, d: audit.script_census(spark.read.parquet(f"{d}/documents.parquet").select(F.col("lang").alias("grp"), "text"))

@@ -39,14 +39,17 @@ SELECT concat('S3-9', lpad(cast(s_suppkey as varchar(20)), 7, '0')), concat(s_na
   concat(cast(1 + (s_suppkey * 7) % 90 as varchar(20)), ' Quay Lane, ', n_name), CASE s_nationkey % 3 WHEN 0 THEN 'US' WHEN 1 THEN 'India' ELSE 'France' END, NULL
 FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 
+#: Every order as a fragment.
+ALL_FRAGMENTS = FRAGMENTS.replace("o_orderkey % 6 = 1", "o_orderkey % 2 = 1").replace(" WHERE o_orderkey % 6 IN (1, 2)", "")
+
 #: The two views as the head of a DuckDB query.
 WITH = f"WITH s1 AS ({S1}), fr AS ({FRAGMENTS})"
 
 
-def views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(masters, fragments with true_s1)."""
+def views(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(masters, fragments with true_s1); whole: of all orders."""
     t = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("customer", "nation", "orders", "supplier")}
     s1 = spark.sql(S1.replace("FROM customer JOIN nation", "FROM {customer} AS customer JOIN {nation} AS nation"), customer=t["customer"], nation=t["nation"])
-    fr = FRAGMENTS.replace("FROM orders JOIN s1", "FROM {orders} AS orders JOIN {s1} AS s1").replace("FROM supplier JOIN nation", "FROM {supplier} AS supplier JOIN {nation} AS nation")
+    fr = (ALL_FRAGMENTS if whole else FRAGMENTS).replace("FROM orders JOIN s1", "FROM {orders} AS orders JOIN {s1} AS s1").replace("FROM supplier JOIN nation", "FROM {supplier} AS supplier JOIN {nation} AS nation")
     fr = spark.sql(fr, orders=t["orders"], s1=s1, supplier=t["supplier"], nation=t["nation"])
     return s1.drop("c_custkey"), fr
