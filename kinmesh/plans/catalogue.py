@@ -183,6 +183,7 @@ def queries() -> dict:
         "channel_reach": lambda r: reports.reach(r.linked.channels),
         "blocking_gate": lambda r: reports.gate(_by_k(r)),
         "pair_name_jaro": _jaro,
+        "pair_name_jaro_all": lambda r: _features(r, ["name_jaro"]),
         "pair_features_text": lambda r: _features(r, text),
         "pair_features_idf": lambda r: _features(r, weights),
         "pair_features_state": lambda r: _features(r, state),
