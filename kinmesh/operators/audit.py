@@ -107,3 +107,17 @@ def namespace(sources: dict[str, DataFrame]) -> DataFrame:
 def eyeball(records: DataFrame, n: int = 20, seed: int = 42) -> DataFrame:
     """A fixed sample: the rows whose hashed ids are least."""
     return records.orderBy(F.xxhash64("entity_id", F.lit(seed)), "entity_id").limit(n)
+
+
+def non_latin_india(records: DataFrame, n: int = 20, seed: int = 42) -> DataFrame:
+    """Indian rows whose name and address are not in Latin letters: a fixed sample of n (kind 'row'),
+    and for each source ('rate') the rows scanned, the Indian ones, the hits and their share of those."""
+    ind = F.coalesce(F.lower(F.trim("country")).startswith("ind"), F.lit(False))
+    blob = F.concat_ws(" ", F.coalesce("business_name", F.lit("")), F.coalesce("business_address", F.lit("")))
+    flag = F.when(ind, T.script_flag(blob))
+    rows = records.withColumn("source", F.substring_index("entity_id", "-", 1)).withColumn("india", ind).withColumn("script_flag", flag)
+    rows = rows.withColumn("hit", F.coalesce(~F.col("script_flag").isin("latin", "none"), F.lit(False)))
+    rates = rows.groupBy("source").agg(F.count("*").alias("scanned"), F.count_if("india").alias("india"), F.count_if("hit").alias("hits"))
+    rates = rates.select(F.lit("rate").alias("kind"), "*", F.round(F.col("hits") / F.greatest("india", F.lit(1)), 6).alias("non_latin_rate"))
+    sample = eyeball(rows.filter("hit"), n, seed).select(F.lit("row").alias("kind"), "source", "entity_id", "country", "script_flag", "business_name", "business_address")
+    return rates.unionByName(sample, allowMissingColumns=True)

@@ -211,7 +211,7 @@ def queries() -> dict:
         "literal_na_counts": lambda r: audit.na_marks(r.columns()),
         "scale_report": lambda r: _source_ids(r).groupBy("source").agg(F.count("*").alias("n")),
         "namespace_violations": lambda r: audit.namespace({"S2": r.raw_fr, "S3": r.raw_fr.filter("entity_id like 'S3-%'")}),
-        "eyeball_sample": lambda r: audit.eyeball(r.raw_fr.filter("country = 'India'")),
+        "eyeball_sample": lambda r: audit.non_latin_india(r.raw_fr),
         "s1_first_sample": lambda r: proxy.sample(r.raw_s1, r.raw_fr.drop("true_s1"), r.truth, 200)[1],
         "chunked_linkage": lambda r: chunks.chunked_hits(r.raw_s1, r.raw_fr.drop("true_s1")),
     }
