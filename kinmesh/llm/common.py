@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share.  Where spark.checkpoint.dir is unset, a local
+    master gets a folder of its own, and any other one an error: no executor sees the driver's disk."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="kinmesh-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _own_dir()
+
+
+@cache
+def _own_dir() -> str:
+    path = tempfile.mkdtemp(prefix="kinmesh-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return f"file://{path}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -51,6 +63,39 @@ def small(staged: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(staged) if n <= rows else staged
 
 
+def slices(batches, rows: int = 1000):
+    """The batches in pieces, so that a worker holds Python objects of few rows at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def tidy(run):
+    """run for mapInArrow; at its end the worker, which later tasks use again, returns what it took."""
+
+    def held(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return held
+
+
+def release() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def lower_ascii(col):
     """A-Z to a-z and nothing else."""
     return F.translate(col, UPPER, LOWER)

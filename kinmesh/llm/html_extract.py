@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stage
+from .common import slices, small, stage, tidy
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -210,7 +210,7 @@ class Page:
 
 
 def _votes(batches):
-    for b in batches:
+    for b in slices(batches):
         votes: dict[tuple[str, str], float] = {}
         for host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             page = Page(source)
@@ -222,7 +222,7 @@ def _votes(batches):
 
 def winning_paths(hosted: DataFrame) -> DataFrame:
     """(host, winners): paths with at least SHARE of the first one's votes, most votes first."""
-    votes = hosted.select("__host", "html").mapInArrow(_votes, "host string, path string, votes double")
+    votes = hosted.select("__host", "html").mapInArrow(tidy(_votes), "host string, path string, votes double")
     votes = votes.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"))
     most = votes.groupBy("host").agg(F.max("votes").alias("most"))
     # at most 1 / SHARE paths of a host pass, by the sum of its votes; near ties may add a few
@@ -238,12 +238,12 @@ def extract(pages: DataFrame) -> DataFrame:
     kept = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = [Page(h).article(w or []) if h else "" for h, w in zip(b.column("html").to_pylist(), b.column("__winners").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], [*kept, "text", "n_chars"])
 
     schema = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in kept) + "text string, n_chars long"
-    return hosted.join(winners, "__host", "left").select(*kept, "html", "__winners").mapInArrow(run, schema)
+    return hosted.join(winners, "__host", "left").select(*kept, "html", "__winners").mapInArrow(tidy(run), schema)
 
 
 def query(pages: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stage
+from .common import slices, small, stage, tidy
 
 BLANK = b" \t\n\x0b\x0c\r"
 
@@ -37,7 +37,7 @@ def _hashed(line: bytes) -> bytes | None:
 
 def _keys_of(batches):
     """One row for each document and distinct key."""
-    for b in batches:
+    for b in slices(batches):
         ids, keys = [], []
         for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if doc is None or not text:
@@ -50,7 +50,7 @@ def _keys_of(batches):
 
 
 def _reassemble(batches):
-    for b in batches:
+    for b in slices(batches):
         text, dropped = b.column("text").to_pylist(), b.column("__drop").to_pylist()
         kept_text, before, gone, digest = [], [], [], []
         for t, d in zip(text, dropped):
@@ -74,7 +74,7 @@ def _reassemble(batches):
 
 def frequent_lines(docs: DataFrame, min_docs: int):
     """(pairs of key and document, staged keys in at least min_docs documents)."""
-    pairs = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_keys_of, "line_key binary, doc_id long")
+    pairs = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(_keys_of), "line_key binary, doc_id long")
     pairs = stage(pairs, "line-keys")
     counted = pairs.distinct().groupBy("line_key").count()
     return pairs, stage(counted.filter(F.col("count") >= min_docs).select("line_key"), "line-frequent")
@@ -93,7 +93,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped", "kept_sha256")]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", text string, n_lines long, n_dropped long, kept_sha256 string"
     joined = docs.select(*kept, "text").join(lost, docs["doc_id"].cast("long") == F.col("__doc"), "left").drop("__doc")
-    return joined.mapInArrow(_reassemble, schema)
+    return joined.mapInArrow(tidy(_reassemble), schema)
 
 
 def query(docs: DataFrame, min_docs: int = 10) -> DataFrame:

@@ -14,8 +14,9 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import sys
+import os
 import zlib
+from functools import cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -23,9 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import small, stage
+from .common import slices, stage, tidy
 
-SIZE, END, SALTS, CACHE = 2048, 0, 64, 500_000
+SIZE, END = 2048, 0
+#: A length is ranked in parts of PART pieces; beyond PARTS such parts in all, in larger ones.
+PART, PARTS = 1 << 8, 1 << 13
+#: Entries of a generation of the encoder's memory, and the longest one in bytes or letters.
+KEEP, LONG = 150_000, 64
 #: Marks that the tokenizer parts from the letters before them, whatever these are.
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'<>")
 
@@ -36,86 +41,124 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Recent(dict):
+    """What was looked up last: two generations of at most `keep` entries.  When the younger
+    one is full, the older one goes with all that was not asked for again."""
+
+    def __init__(self, keep: int):
+        self.keep, self.old = keep, {}
+
+    def find(self, keys) -> list:
+        """Bring the keys that only the older generation holds into this one; those that neither holds."""
+        if len(self) >= self.keep:
+            self.old = dict(self)
+            self.clear()
+        old, unknown = self.old.get, []
+        for k in keys:
+            if (found := old(k)) is None:
+                unknown.append(k)
+            else:
+                self[k] = found
+        return unknown
+
+
 class Encoder:
     """text -> its ids as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and never joins what it parts, so each distinct
-    chunk between it is encoded once in a worker and looked up after that.  Most
-    chunks are letters and then marks; the tokenizer parts these too, and lower-cases,
-    so the letters are encoded many words at a time, and once for all spellings."""
+    chunk between it is encoded once and looked up after that.  Most chunks are letters
+    and then marks; the tokenizer parts these too, and lower-cases, so the letters are
+    encoded many words at a time, and once for all spellings.  What is kept is bounded
+    at any vocabulary: chunks and parts of over LONG bytes are not kept, of the rest the
+    last 2 * KEEP at most."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.tokenizer = _tokenizer(path)
+        self.chunks, self.parts = Recent(KEEP), Recent(KEEP)
 
     def __call__(self, text: str) -> bytes:
         chunks = text.encode().split()
         try:
             return b"".join(map(self.chunks.__getitem__, chunks))
         except KeyError:
-            self._learn({c for c in chunks if c not in self.chunks})
-            out = b"".join(map(self.chunks.__getitem__, chunks))
-        if len(self.chunks) > CACHE:
-            self.chunks.clear()
-        if len(self.parts) > CACHE:
-            self.parts = {"": b""}
+            pass
+        held = self.chunks
+        held.find(())  # a full generation ages before this text's chunks are asked for
+        unknown = held.find([c for c in set(chunks) if c not in held])
+        held.update(self._encoded(unknown))
+        out = b"".join(map(held.__getitem__, chunks))
+        for c in unknown:
+            if len(c) > LONG:
+                del held[c]
         return out
 
-    def _learn(self, chunks: set[bytes]):
+    def _encoded(self, chunks: list[bytes]):
+        """(chunk, ids) of each."""
         split, words, rest = [], set(), set()
         for c in chunks:
             whole = c.decode()
             letters = whole.rstrip(MARKS)
             low = letters.lower()
-            plain = low.isalpha() and letters.isalpha() and "\u03a3" not in letters and (whole.isascii() or is_normalized("NFC", letters) and is_normalized("NFC", low))
-            split.append((c, low, whole[len(letters) :]) if plain else (c, whole, ""))
-            (words if plain else rest).add(split[-1][1])
-            rest.add(split[-1][2])
-        self._encode_words([w for w in words if w not in self.parts])
-        rest = [r for r in rest if r not in self.parts]
-        for r, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.parts[r] = _bytes(e.ids)
-        for c, a, b in split:
-            self.chunks[c] = self.parts[a] + self.parts[b]
+            if low.isalpha() and letters.isalpha() and "\u03a3" not in letters and (whole.isascii() or is_normalized("NFC", letters) and is_normalized("NFC", low)):
+                words.add(low)
+                marks = whole[len(letters) :]
+            else:
+                low, marks = whole, ""
+                rest.add(whole)
+            if marks:
+                rest.add(marks)
+            split.append((c, low, marks))
+        held = self.parts
+        held.find(())
+        unknown = held.find([p for p in words | rest if p not in held])
+        self._encode_words([w for w in unknown if w in words])
+        marks = [r for r in unknown if r not in words]
+        for r, e in zip(marks, self.tokenizer.encode_batch_fast(marks, add_special_tokens=False)):
+            held[r] = _bytes(e.ids)
+        out = [(c, held[a] + held[b] if b else held[a]) for c, a, b in split]
+        for p in unknown:
+            if len(p) > LONG:
+                del held[p]
+        return out
 
     def _encode_words(self, words: list[str]):
+        into = self.parts
         for at in range(0, len(words), 2048):
             some = words[at : at + 2048]
             e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, number = np.array(e.ids, "<u4"), np.array(e.word_ids, np.int64)
-            cuts = np.flatnonzero(np.diff(number)) + 1
+            ids, number = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids, np.int64)
+            cuts = (4 * (np.flatnonzero(np.diff(number)) + 1)).tolist()
             if len(cuts) + 1 == len(some):
-                for w, part in zip(some, np.split(ids, cuts)):
-                    self.parts[w] = part.tobytes()
+                into.update(zip(some, map(ids.__getitem__, map(slice, [0, *cuts], [*cuts, len(ids)]))))
             else:
                 for w in some:
-                    self.parts[w] = _bytes(self.tokenizer.encode(w, add_special_tokens=False).ids)
+                    into[w] = _bytes(self.tokenizer.encode(w, add_special_tokens=False).ids)
 
 
 def _bytes(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
-def _encoder(path: str) -> Encoder:
-    held = sys.__dict__.setdefault("_kinmesh_encoders", {})  # outlives a task
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
+@cache
+def _tokenizer(path: str):
+    """Read once in a worker; what is learnt beside it goes with the task."""
+    from tokenizers import Tokenizer
+
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+    return Tokenizer.from_file(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): the documents' ids, cut where they are longer than size."""
     path = tokenizer or default_tokenizer()
+    end = END.to_bytes(4, "little")
 
     def run(batches):
-        encode = _encoder(path)
-        for b in batches:
+        encode = Encoder(path)
+        for b in slices(batches):
             out = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = encode(text or "") + END.to_bytes(4, "little")
+                ids = encode(text or "") + end
                 for n, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
                     out.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part)))
@@ -124,7 +167,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> D
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def fullest(room: int, left: dict[int, int]) -> list[tuple[int, int]]:
@@ -177,20 +220,29 @@ def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int,
 def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> DataFrame:
     """pieces with sequence_id and offset.
 
-    Ranks within a length are taken in salted parts, with the parts' counts before
-    them, so a length that a third of the pieces share is no single task's."""
+    Ranks within a length are taken in parts of some PART pieces, with the parts' counts
+    before them, so a length that a third of the pieces share is no single task's.  What is
+    broadcast has a bound: the slots follow from the histogram of at most `size` lengths, and
+    lengths of several parts have at most 2 * PARTS parts together."""
     spark: SparkSession = docs.sparkSession
-    cut = stage(pieces(docs, tokenizer, size).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int")), "pieces")
-    counts = stage(cut.groupBy("length", "salt").count(), "lengths")  # at most size x SALTS rows
-    before = counts.select("length", "salt", F.coalesce(F.sum("count").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # at most size rows
-    slots = plan(histogram, size)
-    slot_rows = spark.createDataFrame(slots, "length long, first long, last long, times long, base long, sequence long")
+    cut = stage(pieces(docs, tokenizer, size), "pieces")
+    histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most size rows
+    part = max(PART, sum(histogram.values()) // PARTS)
+    slots: dict[int, list] = {}
+    for n, *slot in plan(histogram, size):
+        slots.setdefault(n, []).append(tuple(slot))
+    lengths = [(n, -(-c // part), slots[n]) for n, c in histogram.items()]
+    lengths = F.broadcast(spark.createDataFrame(lengths, "length long, parts int, slots array<struct<first:long,last:long,times:long,base:long,sequence:long>>"))
+    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("parts")).cast("int")
+    salted = cut.join(lengths, "length").withColumn("salt", salt)
+    counts = salted.filter("parts > 1").groupBy("length", "salt").count()  # at most 2 * PARTS rows
+    upto = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("length", "salt", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("before"))
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = cut.withColumn("rank", F.row_number().over(order) - 1).join(F.broadcast(before), ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("before"))
-    # slots of a length in bands of equal width would grow with the counts, so a piece finds its slot in its length's array of them
-    by_length = slot_rows.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("first", "last", "times", "base", "sequence"))).alias("slots"))
-    placed = ranked.join(F.broadcast(by_length), "length").withColumn("slot", F.get(F.filter("slots", lambda s: (s["first"] <= F.col("rank")) & (F.col("rank") < s["last"])), F.lit(0)))
+    ranked = cut.join(lengths.select("length", "parts"), "length").withColumn("salt", salt).withColumn("own", F.row_number().over(order) - 1)
+    ranked = ranked.join(F.broadcast(before), ["length", "salt"], "left").withColumn("rank", F.col("own") + F.coalesce("before", F.lit(0)))
+    found = F.get(F.filter("slots", lambda s: (s["first"] <= F.col("rank")) & (F.col("rank") < s["last"])), F.lit(0))
+    placed = ranked.join(lengths.select("length", "slots"), "length").withColumn("slot", found)
     r, t = F.col("rank") - F.col("slot.first"), F.col("slot.times")
     return placed.select(
         "doc_id",

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stage
+from .common import slices, small, stage, tidy
 
 LABELLED, POOL, ROUNDS, KEEP = 12_000, 12_000, 4, 0.5
 BUCKETS = 32
@@ -152,7 +152,7 @@ def _views(texts, langs, sources, sizes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _measured(batches):
-    for b in batches:
+    for b in slices(batches):
         text, meta = _views(*(b.column(c).to_pylist() for c in ("text", "lang", "source", "n_chars")))
         yield pa.RecordBatch.from_arrays([b.column("order"), b.column("quality"), pa.array(text.tolist(), pa.list_(pa.float64())), pa.array(meta.tolist(), pa.list_(pa.float64()))], ["order", "quality", "text_view", "meta_view"])
 
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     others = docs.filter("doc_id is not null").select("doc_id").join(small(named), "doc_id", "left_anti").select("doc_id", F.lit(None).cast("int").alias("quality"), order.alias("order"))
     some = F.broadcast(stage(picked.union(others.orderBy("order", "doc_id").limit(POOL)).dropDuplicates(["doc_id"]), "sample"))  # LABELLED + POOL rows at most
     cut = docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars")).join(some, "doc_id")
-    rows = cut.mapInArrow(_measured, "order long, quality int, text_view array<double>, meta_view array<double>").collect()
+    rows = cut.mapInArrow(tidy(_measured), "order long, quality int, text_view array<double>, meta_view array<double>").collect()
     rows = sorted(rows, key=lambda r: (r["order"], r["text_view"], r["meta_view"]))
     told = [r for r in rows if r["quality"] is not None]
     pool = [r for r in rows if r["quality"] is None]
@@ -180,12 +180,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     names = docs.columns
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             text, meta = _views(*(b.column(c).to_pylist() for c in ("text", "lang", "source")), b.column("__size").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(model.score(text, meta), pa.float64())], [*names, "quality_score"])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema) + "quality_score double"
-    return docs.withColumn("__size", F.col("n_chars").cast("long")).mapInArrow(run, schema)
+    return docs.withColumn("__size", F.col("n_chars").cast("long")).mapInArrow(tidy(run), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = KEEP) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stage
+from .common import slices, small, stage, tidy
 from .components import components
 
 TREE, STEP = 4096, 1 << 21
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
             out = [fingerprint(t, shingle) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(out, np.uint64).view(np.int64), pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), "doc_id long, fp long")
 
 
 def blocks(radius: int) -> list[tuple[int, int]]:
@@ -190,7 +190,7 @@ def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
             at = end
 
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(tidy(run), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import slices, stage, tidy
 
 SPAN, K = 50, 16
 #: An odd multiplier of a rolling hash modulo 2^64, and its inverse.
@@ -205,7 +205,7 @@ def remove(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
 
     schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept) + "text string, n_words long, n_removed long, kept_sha256 string"
     whole = docs.select(*kept, F.col("doc_id").cast("long").alias("__id"), "text")
-    return whole.join(found, F.col("__id") == F.col("__doc"), "left").drop("__doc").mapInArrow(run, schema)
+    return whole.join(found, F.col("__id") == F.col("__doc"), "left").drop("__doc").mapInArrow(tidy(run), schema)
 
 
 def query(docs: DataFrame) -> DataFrame:

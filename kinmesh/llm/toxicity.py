@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stage
+from .common import slices, small, stage, tidy
 
 MAX_TERMS, MAX_PHRASES, FIT_ROWS = 4096, 1024, 20_000
 MIN_PREFIX, MAX_PREFIX, MIN_ODDS = 4, 24, 2.5
@@ -108,7 +108,7 @@ def _neighbours(train: DataFrame, found: DataFrame) -> DataFrame:
             cols = list(zip(*own)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string())], ["word", "before"])
 
-    pairs = train.filter("toxic").select("text").mapInArrow(run, "word string, before string")
+    pairs = train.filter("toxic").select("text").mapInArrow(tidy(run), "word string, before string")
     pairs = pairs.select(F.explode(_terms(F.col("word"))).alias("term"), "before").join(small(found.select("term")), "term")
     return pairs.distinct().groupBy("term").count()
 
@@ -150,13 +150,13 @@ def merged(scored: DataFrame) -> DataFrame:
         yield out(found)
 
     keyed = scored.select(F.substring("term", 1, MIN_PREFIX + 1).alias("start"), "term", "toxic", "odds")
-    return keyed.repartition("start").sortWithinPartitions("start").mapInArrow(run, "term string, toxic long, odds double")
+    return keyed.repartition("start").sortWithinPartitions("start").mapInArrow(tidy(run), "term string, toxic long, odds double")
 
 
 def learn_terms(train: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
     """' word ' and ' beginning' with log odds.  A beginning stands only for what it adds:
     it is lengthened as long as nine tenths of its toxic texts stay with one longer one."""
-    counts = train.select("text", "toxic").mapInArrow(_incidence, "word string, toxic long, clean long")
+    counts = train.select("text", "toxic").mapInArrow(tidy(_incidence), "word string, toxic long, clean long")
     counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     share = n_toxic / (n_toxic + n_clean)
     scored = counts.select(F.explode(_terms(F.col("word"))).alias("term"), "toxic", "clean").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -213,7 +213,7 @@ def learn_phrases(train: DataFrame, terms: dict[str, float]) -> frozenset:
             cols = list(zip(*out)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], ["phrase", "toxic", "clean"])
 
-    pairs = train.select("text", "toxic").mapInArrow(around, "phrase string, toxic long, clean long").groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    pairs = train.select("text", "toxic").mapInArrow(tidy(around), "phrase string, toxic long, clean long").groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     rows = pairs.filter("clean >= 3 and clean >= 9 * toxic").orderBy(F.desc("clean"), "phrase").limit(MAX_PHRASES).collect()
     return frozenset(r["phrase"] for r in rows) | frozenset(PHRASES)
 
@@ -248,7 +248,7 @@ def train_model(train: DataFrame) -> Model:
 
     The folded training texts are written once; every later pass reads them."""
     train = train.filter("toxic is not null").select(F.col("doc_id").cast("string").alias("doc_id"), "text", (F.col("toxic") > 0).alias("toxic"))
-    train = stage(train.mapInArrow(_folded, "doc_id string, text string, toxic boolean"), "folded")
+    train = stage(train.mapInArrow(tidy(_folded), "doc_id string, text string, toxic boolean"), "folded")
     n = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     n_toxic, n_clean = n.get(True, 0), n.get(False, 0)
     if not n_toxic or not n_clean:
@@ -268,7 +268,7 @@ def train_model(train: DataFrame) -> Model:
         part = train.filter(F.col("toxic") == kind).select("doc_id").orderBy(order, "doc_id").limit(FIT_ROWS)
         some = part if some is None else some.union(part)
     some = train.join(F.broadcast(stage(some.distinct(), "fit-ids")), "doc_id").select("text", "toxic")
-    rows = some.mapInArrow(measured, "total double, rate double, toxic boolean").collect()
+    rows = some.mapInArrow(tidy(measured), "total double, rate double, toxic boolean").collect()
     y = np.array([r["toxic"] for r in rows], float)
     x = np.array([(r["total"], r["rate"]) for r in rows], float)
     return Model(terms, exceptions, logistic(x, y), n_toxic / (n_toxic + n_clean))
@@ -289,7 +289,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + [pa.array(p, pa.float64())], [*kept, "score"])
 
     schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept) + "score double"
-    return docs.select(*kept, "text").mapInArrow(run, schema)
+    return docs.select(*kept, "text").mapInArrow(tidy(run), schema)
 
 
 def held_out(doc_id):
