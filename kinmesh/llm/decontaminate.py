@@ -49,10 +49,26 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return stage(found.groupBy("win").agg(F.collect_set(F.col("item_id").cast("string")).alias("items")).select(F.size("win").alias("len"), "win", "items"), "windows")
 
 
+def _key() -> list[Column]:
+    """Rows that agree in this agree in what they hold; rows that merely share a doc_id are told apart."""
+    return [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.xxhash64("text", F.length("text")).alias("__text")]
+
+
+def _probes(length: int) -> Column:
+    """(gram hash, window length, position) at each aligned position of `w`."""
+    g, s = _aligned(length)
+    at = F.when(F.size("w") >= g, F.sequence(F.lit(0), F.size("w") - g, F.lit(s))).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda p: F.struct(F.xxhash64(F.slice("w", p + 1, g)).alias("gram"), F.lit(length).alias("glen"), p.alias("p")))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW) -> DataFrame:
     """The columns `keep` with n_words, n_hit (words inside an occurring window) and
-    item_ids (sorted strings), one row for each row of docs.  Texts meet no exchange:
-    a document travels as `keep` and its hits."""
+    item_ids (sorted strings), one row for each row of docs.
+
+    Words stay in their document's row: what is joined with the grams is (key, position,
+    hash) alone.  The documents of the few probes that hit are read once more, and only
+    their windows around the hits leave the row."""
+    key = ["__id", "__text"]
     windows = item_windows(benchmark, window)
     lengths = [r[0] for r in windows.select("len").distinct().collect()]  # at most `window` values
     grams = windows.select(F.lit(0).cast("long").alias("gram"), F.lit(0).alias("glen")).limit(0)
@@ -60,37 +76,27 @@ def hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = W
         grams = grams.union(windows.filter(F.col("len") == n).select(F.explode(_grams(n)), F.lit(n)))
     known = small(stage(grams.distinct().withColumn("known", F.lit(True)), "grams"))
 
-    n = F.size("w")
-
-    def probes(length: int) -> Column:
-        g, s = _aligned(length)
-        at = F.when(n >= g, F.sequence(F.lit(0), n - g, F.lit(s))).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda p: F.struct(F.xxhash64(F.slice("w", p + 1, g)).alias("gram"), F.lit(length).alias("glen"), p.alias("p")))
-
-    # rows are numbered in the scan, before any exchange, so a task that runs again gives the same numbers
-    base = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("doc"), words_of(F.col("text")).alias("w"))
-    # the first probe stands for the document itself and matches nothing
-    itself = F.array(F.struct(F.lit(None).cast("long").alias("gram"), F.lit(0).alias("glen"), F.lit(-1).alias("p")))
-    probed = base.select("row", "doc", "w", F.explode(F.concat(itself, *map(probes, lengths))).alias("x")).select("row", "doc", "w", "x.*")
-    probed = probed.join(known, ["gram", "glen"], "left").filter("known or p < 0")
-    stride = F.lit(1)
-    for length in lengths:
-        stride = F.when(F.col("glen") == length, F.lit(_aligned(length)[1])).otherwise(stride)
-    fits = F.filter(F.sequence(F.col("p") - stride + 1, F.col("p")), lambda i: (i >= 0) & (i + F.col("glen") <= F.size("w")))
-    tried = probed.select("row", "doc", "w", "glen", "p", F.explode(F.when(F.col("p") < 0, F.array(F.lit(-1))).otherwise(fits)).alias("i"))
-    tried = tried.select(
-        "row",
-        F.when(F.col("p") < 0, F.struct("doc", F.size("w").cast("long").alias("n"))).alias("self"),
-        "i",
-        F.col("glen").alias("len"),
-        F.when(F.col("p") >= 0, F.slice("w", F.greatest("i", F.lit(0)) + 1, F.greatest("glen", F.lit(1)))).alias("win"),
-    )
-    found = tried.join(small(windows), ["len", "win"], "left").filter("items is not null or self is not null")
-    per_doc = found.groupBy("row").agg(
-        F.first("self", ignorenulls=True).alias("self"),
-        F.array_sort(F.collect_set(F.when(F.col("items").isNotNull(), F.struct("i", "len")))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"),
-    )
+    base = docs.select(*_key(), F.struct(*keep).alias("doc"), words_of(F.col("text")).alias("w"))
+    # the first probe stands for the document itself; no gram has its length
+    itself = F.array(F.struct(F.xxhash64(*key).alias("gram"), F.lit(0).alias("glen"), F.lit(-1).alias("p")))
+    spread = base.select(*key, "doc", F.size("w").cast("long").alias("n_words"), F.explode(F.concat(itself, *map(_probes, lengths))).alias("x"))
+    met = spread.select(*key, "doc", "n_words", "x.*").join(known, ["gram", "glen"], "left").filter("known or p < 0")
+    met = stage(met.select(*key, F.when(F.col("p") < 0, F.col("doc")).alias("doc"), "n_words", "glen", "p"), "probed")
+
+    tried = stage(met.filter("p >= 0").groupBy(*key).agg(F.collect_set(F.struct("glen", "p")).alias("probes")), "hit-probes")
+
+    def around(x: Column) -> Column:
+        """The windows that hold the gram at x."""
+        stride = F.lit(1)
+        for length in lengths:
+            stride = F.when(x["glen"] == length, F.lit(_aligned(length)[1])).otherwise(stride)
+        fits = F.filter(F.sequence(x["p"] - stride + 1, x["p"]), lambda i: (i >= 0) & (i + x["glen"] <= F.size("w")))
+        return F.transform(fits, lambda i: F.struct(i.alias("i"), x["glen"].alias("len"), F.slice("w", i + 1, x["glen"]).alias("win")))
+
+    again = docs.select(*_key(), "text").join(small(tried), key).select(*key, words_of(F.col("text")).alias("w"), "probes")
+    found = again.select(*key, F.explode(F.flatten(F.transform("probes", around))).alias("x")).select(*key, "x.*")
+    found = found.join(small(windows), ["len", "win"]).select(*key, "i", "len", "items")
+    spans = found.groupBy(*key).agg(F.array_sort(F.collect_set(F.struct("i", "len"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"))
     covered = F.aggregate(
         "spans",
         F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
@@ -100,19 +106,18 @@ def hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = W
         ),
         lambda a: a["n"],
     )
-    return per_doc.select("self.doc.*", F.col("self.n").alias("n_words"), covered.alias("n_hit"), "item_ids")
+    per_text = small(stage(spans.select(*key, covered.alias("n_hit"), "item_ids"), "hits"))
+    out = met.filter("p < 0").join(per_text, key, "left")
+    none = F.array().cast("array<string>")
+    return out.select("doc.*", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that hold no window of the benchmark, with their own columns.
-
-    What goes is named by (doc_id, hash of the text): rows that agree in both are
-    contaminated alike, and rows that merely share a doc_id are told apart."""
-    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.xxhash64("text", F.length("text")).alias("__text")]
-    named = docs.select(*key, "text")
-    bad = hits(named, benchmark, ["__id", "__text"], window).filter("n_hit > 0").select("__id", "__text").distinct()
-    bad = small(stage(bad, "contaminated"))
-    return docs.select("*", *key).join(bad, ["__id", "__text"], "left_anti").select(*docs.columns)
+    """The documents that hold no window of the benchmark, with their own columns."""
+    key = ["__id", "__text"]
+    named = docs.select(*_key(), "doc_id", "text")
+    bad = hits(named, benchmark, key, window).filter("n_hit > 0").select(*key).distinct()
+    return docs.select("*", *_key()).join(small(stage(bad, "contaminated")), key, "left_anti").select(*docs.columns)
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
