@@ -5,9 +5,11 @@ mod-97) confirm them, and words near a span adjust its score.  Offsets are code
 points, end exclusive.
 
 Base kinds, leftmost and non-overlapping within a kind, each match kept or dropped
-as a whole: email, ip, card, phone.  Added kinds: iban (mod-97 confirms it) and ssn
-(only where a context word stands nearby).  A base span is kept whatever its score;
-an added one needs `min_score`.
+as a whole: email, ip, card, phone.  Added kinds: iban (mod-97 confirms it), ssn and
+secret, an opaque string of letters and digits (both only where a context word stands
+nearby).  Context is the text between a match and its neighbours of the same kind, on
+both sides, CONTEXT characters at most.  A base span is kept whatever its score; an added
+one needs `min_score`.
 
 Defined results: a null or empty text has no spans; rows that repeat a doc_id, or
 have none, are judged row by row; an empty table gives no rows; further columns are
@@ -36,6 +38,7 @@ KINDS = {
     "phone": (r"\+[0-9][ ().0-9-]+[0-9]", r"text rlike '[+][0-9]'"),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", r"text rlike '[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}'"),
     "ssn": (r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", r"text rlike '[0-9]{3}-[0-9]{2}-[0-9]{4}'"),
+    "secret": (r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])(?=[0-9_+/=-]*+[A-Za-z])[A-Za-z0-9_+/=-]{20,}+", r"text rlike '[A-Za-z0-9_+/=-]{20}'"),
 }
 BASE = ("email", "ip", "card", "phone")
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
@@ -47,8 +50,10 @@ SCORES = {
     "phone": (0.7, 0.2, "phone|call|tel|mobile|fax"),
     "iban": (0.9, 0.1, "iban|account|bank"),
     "ssn": (0.3, 0.5, "ssn|social security"),
+    "secret": (0.3, 0.5, "token|secret|password|passwd|credential|credentials|key|apikey|api_key|access_key|bearer|authorization"),
 }
-CONTEXT = 40
+CONTEXT, RUN = 40, 256
+SPANS = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
 def _digits(m: Column) -> Column:
@@ -93,36 +98,56 @@ def _confirmed(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _placed(kind: str) -> Column:
-    """Confirmed matches as (start, end, score): a match starts after all gaps up to it and all matches before it."""
+def _let(value: Column, body) -> Column:
+    """body over a value that is computed once: what a lambda refers to is else computed at each of its calls."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sums(steps: Column) -> Column:
+    """Running sums of an array, in runs of RUN: each append copies its run, so cost stays linear."""
+    runs = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / RUN).cast("int"))
+    run = lambda b: F.slice(steps, b * RUN + 1, RUN)
+    more = lambda a, x: F.array_append(a, F.element_at(a, -1) + x)
+    totals = F.transform(runs, lambda b: F.aggregate(run(b), F.lit(0), lambda a, x: a + x))
+    starts = F.aggregate(totals, F.array(F.lit(0)), more)
+    return _let(starts, lambda s: F.flatten(F.transform(runs, lambda b: F.slice(F.aggregate(run(b), F.array(F.get(s, b)), more), 2, RUN))))
+
+
+def _placed(kind: str, m: Column, gaps: Column) -> Column:
+    """Confirmed matches as (kind, start, end, score).  gaps: the texts before, between and after the matches."""
     base, gain, words = SCORES[kind]
-    m, gap = F.col(f"m_{kind}"), F.col(f"g_{kind}")
-    near = F.col("text")
+    places = F.sequence(F.lit(0), F.size(m) - 1)
+    near = rf"(?i)(?:^|[^a-z])(?:{words})(?:[^a-z]|$)"
 
-    def put(acc, i):
-        start = acc["at"] + F.length(F.get(gap, i))
-        end = start + F.length(F.get(m, i))
-        before = F.substring(near, F.greatest(start - CONTEXT + 1, F.lit(1)), F.least(start, F.lit(CONTEXT)))
-        score = F.lit(base) + F.when(before.rlike(f"(?i)(?:^|[^a-z])(?:{words})(?:[^a-z]|$)"), F.lit(gain)).otherwise(F.lit(0.0))
-        keep = _confirmed(kind, F.get(m, i))
-        span = F.struct(F.lit(kind).alias("kind"), start.cast("long").alias("start"), end.cast("long").alias("end"), score.alias("score"))
-        return F.struct(end.alias("at"), F.when(keep, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+    def one(i, ends):
+        end, match = F.get(ends, i), F.get(m, i)
+        context = F.substring(F.get(gaps, i), -CONTEXT, CONTEXT).rlike(near) | F.substring(F.get(gaps, i + 1), 1, CONTEXT).rlike(near)
+        score = F.lit(base) + F.when(context, F.lit(gain)).otherwise(F.lit(0.0))
+        return F.when(_confirmed(kind, match), F.struct(F.lit(kind).alias("kind"), (end - F.length(match)).cast("long").alias("start"), end.cast("long").alias("end"), score.alias("score")))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:bigint,end:bigint,score:double>>").alias("spans"))
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(m) - 1), zero, put, lambda a: a["spans"])
-    return F.when(F.size(m) > 0, walked).otherwise(zero["spans"])
+    steps = F.transform(places, lambda i: F.length(F.get(gaps, i)) + F.length(F.get(m, i)))
+    spans = _let(steps, lambda w: _let(_sums(w), lambda ends: F.transform(places, lambda i: one(i, ends))))
+    return F.when(F.size(m) > 0, F.filter(spans, lambda x: x.isNotNull())).otherwise(F.array().cast(SPANS))
 
 
 def find(docs: DataFrame, min_score: float = 0.6) -> DataFrame:
-    """docs with `pii`: array of (kind, start, end, score), by kind as listed, then by start."""
+    """docs with `pii`: array of (kind, start, end, score), by kind as listed, then by start.
+
+    An input column named pii is replaced; no other name clashes."""
     own = [c for c in docs.columns if c not in ("text", "pii")]
+    of = "__of"
+    while of in own:
+        of += "_"
     out = docs.select(*own, F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # one text scan a kind; only texts that pass the cheap test are matched
-    out = out.select("*", *[F.when(F.expr(test), F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(F.array().cast("array<string>")).alias(f"m_{k}") for k, (p, test) in KINDS.items()])
-    out = out.select("*", *[F.when(F.size(f"m_{k}") > 0, F.split("text", p, -1)).alias(f"g_{k}") for k, (p, _) in KINDS.items()])
-    out = out.select(*own, "text", *[_placed(k).alias(f"s_{k}") for k in KINDS])
-    added = [F.filter(f"s_{k}", lambda s: s["score"] >= min_score) for k in KINDS if k not in BASE]
-    return out.select(*own, "text", F.concat(*[F.col(f"s_{k}") for k in BASE], *added).alias("pii"))
+    none = F.array().cast("array<string>")
+    found = [F.when(F.expr(test), F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(none).alias(k) for k, (p, test) in KINDS.items()]
+    out = out.select(*own, "text", F.struct(*found).alias(of))
+    gaps = [F.when(F.size(f"{of}.{k}") > 0, F.split("text", p, -1)).alias(f"{k}_gaps") for k, (p, _) in KINDS.items()]
+    out = out.select(*own, "text", F.struct(*[F.col(f"{of}.{k}") for k in KINDS], *gaps).alias(of))
+    placed = {k: _placed(k, F.col(f"{of}.{k}"), F.col(f"{of}.{k}_gaps")) for k in KINDS}
+    spans = [p if k in BASE else F.filter(p, lambda s: s["score"] >= min_score) for k, p in placed.items()]
+    return out.select(*own, "text", F.concat(*spans).alias("pii"))
 
 
 def _joined(spans: Column) -> Column:
@@ -147,4 +172,4 @@ def query(docs: DataFrame) -> DataFrame:
     found = find(docs.select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE))
     counts = [F.size(F.filter("pii", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]  # noqa: B023
-    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans"), F.array_join(F.transform("pii", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"))

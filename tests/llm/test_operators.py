@@ -424,3 +424,25 @@ def test_quality_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert [r.predicted for r in quality.query(d, none).collect()] == [1, 1]
     assert quality.query(d.limit(0), none).count() == 0
+
+
+def test_decontaminate_long_text_and_wide_benchmark(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "small", lambda df, rows=0: df)  # as beyond the broadcast bound
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(50)]
+    long = " ".join(f"v{j}" for j in range(200_000)) + " " + " ".join(items[7][1].split()[3:15])
+    docs = [(1, long), (2, items[3][1]), (2, "clean words"), (None, items[4][1]), (5, None)]
+    got = decontaminate.query(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_hit) for r in got) == [(0, 30, 30), (1, 200_012, 12), (2, 2, 0), (2, 30, 30), (5, 0, 0)]
+
+
+def test_pii_many_context_and_names(spark):
+    many = " ".join(f"u{i}@mail.example.com +1 555 {i:07d}," for i in range(20_000))
+    token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    rows = [(1, many, "x"), (2, f'token = "{token}"', "y"), (3, token, "z"), (4, f"{token} is the secret", None), (5, "078-05-1120 was the SSN", "k"), (6, "078-05-1120", "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, m_email string")
+    got = {r.doc_id: r for r in pii.find(df).collect()}
+    emails = [(s.start, s.end) for s in got[1].pii if s.kind == "email"]
+    assert emails == [m.span() for m in re.finditer(r"u[0-9]+@mail\.example\.com", many)] and got[1].m_email == "x"
+    assert [[(s.kind, s.start) for s in got[i].pii] for i in (2, 3, 4, 5, 6)] == [[("secret", 9)], [], [("secret", 0)], [("ssn", 0)], []]
+    out = pii.query(df).filter("doc_id = 2").first()
+    assert (out.spans, out.scores) == ("secret:9:49", "0.80")
