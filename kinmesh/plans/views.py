@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The words of the views over the driver's tables.
 HEADS = "Brightleaf|Copper Kettle|Ironwood|Shree Ganesh|Northwind|Belle Rivière|Café Lumière|Anand|Quiet Harbor|Lotus Bay|Marigold"
 TRADES = "Pharmacy|Bakery|Hardware|Textiles|Clinic|Motors|Grocers"
 STREETS = "Maple Street|Cedar Road|Oakline Avenue|Harbour Boulevard|Gandhi Marg|Nehru Nagar|Rue Émile Zola"

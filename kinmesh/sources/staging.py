@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a folder of our own only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="kinmesh-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    """spark.checkpoint.dir of the session.  Where it is unset, a local master gets a folder of its
+    own, and any other one an error: executors do not see the driver's disk."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    path = tempfile.mkdtemp(prefix="kinmesh-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return f"file://{path}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
