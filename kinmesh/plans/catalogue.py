@@ -1,7 +1,6 @@
 """Registered queries of the linkage engine.
 
-Linkage queries read the views, whose SQL holds a third of the orders; those named
-_all_orders, without SQL, take every order as a fragment.  Queries over one
+Linkage queries read the views over the driver's tables whole.  Queries over one
 session and folder share one run of the linkage plan, whose stages are tables."""
 
 from __future__ import annotations
@@ -27,8 +26,8 @@ _runs: dict = {}
 class Run:
     """A linkage run over one folder; its parts are made when first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, whole: bool = False):
-        self.raw_s1, self.raw_fr = views(spark, sf_dir, whole)
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.raw_s1, self.raw_fr = views(spark, sf_dir)
         self._linked = self._features = self._predicted = self._pi = None
 
     @property
@@ -85,10 +84,10 @@ class Run:
         return self.raw_fr.select(F.explode(pairs).alias("x")).select("x.*")
 
 
-def run_of(spark: SparkSession, sf_dir: str, whole: bool = False) -> Run:
-    key = (spark.sparkContext.applicationId, sf_dir, whole)
+def run_of(spark: SparkSession, sf_dir: str) -> Run:
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _runs:
-        _runs[key] = Run(spark, sf_dir, whole)
+        _runs[key] = Run(spark, sf_dir)
     return _runs[key]
 
 
@@ -111,13 +110,6 @@ def _features(r: Run, names: list[str]) -> DataFrame:
     return r.features.select("frag_id", "s1_id", *[F.round(n, 6).alias(n) for n in names])
 
 
-def _jaro(r: Run) -> DataFrame:
-    plain = ~T.has_non_ascii(F.col("name_core"))
-    f = r.fr.filter(plain).select(F.col("entity_id").alias("frag_id"))
-    s = r.s1.filter(plain).select(F.col("entity_id").alias("s1_id"))
-    return _features(r, ["name_jaro"]).join(f, "frag_id", "left_semi").join(s, "s1_id", "left_semi")
-
-
 def _validator(r: Run) -> DataFrame:
     predicted = r.predicted.select("s1_id", "frag_id")
     planted = predicted.filter("s1_id like '%7'").select("s1_id", F.lit("S2-unknown")).distinct()
@@ -130,17 +122,12 @@ def _gbt(r: Run) -> DataFrame:
     pairs = model.training_pairs(r.features, r.truth).repartition(8, "frag_id").sortWithinPartitions("frag_id", "s1_id")
     pairs = stage(pairs, "pairs")
     train, _ = model.hold_out(pairs)
-    scored = model.PairScorer(maxIter=20).fit(train).predict(pairs)
+    scored = model.PairScorer().fit(train).predict(pairs)
     predicted = linkage.predict(r.linked, scored)
     return score.macro_f(score.entity_scores(r.spine, r.truth, predicted))
 
 
 def _dense(spark: SparkSession, d: str) -> DataFrame:
-    e = spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return _hits(blocking.dense(e.filter("id % 2 = 0"), e.filter("id % 2 = 1"), 10))
-
-
-def _dense_all(spark: SparkSession, d: str) -> DataFrame:
     """Every vector against all others."""
     e = spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     others = blocking.dense(e, e, 11).filter("frag_id <> s1_id")
@@ -158,7 +145,7 @@ def queries() -> dict:
     """name -> callable(spark, sf_dir)."""
     text = ["name_ratio", "name_core_ratio", "name_token_set", "name_token_sort", "addr_ratio", "addr_token_set"]
     weights = ["idf_jaccard", "idf_shared_sum", "idf_unshared_sum", "idf_rarest_shared"]
-    state = [n for n in features.NAMES if n not in (*text, *weights, "name_jaro", "name_partial", "name_number_match", "script_mixed")]
+    state = [n for n in features.NAMES if n not in (*text, *weights, "name_jaro", "name_partial", "script_mixed")]
     joined = lambda c: F.array_join(c, ",").alias(c)
     of = {
         "normalise_name_address": lambda r: _normalised(r).select("entity_id", "name_norm", "addr_norm", "country_norm"),
@@ -182,8 +169,7 @@ def queries() -> dict:
         "blocking_slices": lambda r: reports.slices(r.truth, r.linked.fused, r.s1.select(F.col("entity_id").alias("s1_id"), F.col("country_norm").alias("country"))),
         "channel_reach": lambda r: reports.reach(r.linked.channels),
         "blocking_gate": lambda r: reports.gate(_by_k(r)),
-        "pair_name_jaro": _jaro,
-        "pair_name_jaro_all": lambda r: _features(r, ["name_jaro"]),
+        "pair_name_jaro": lambda r: _features(r, ["name_jaro"]),
         "pair_features_text": lambda r: _features(r, text),
         "pair_features_idf": lambda r: _features(r, weights),
         "pair_features_state": lambda r: _features(r, state),
@@ -216,9 +202,7 @@ def queries() -> dict:
         "chunked_linkage": lambda r: chunks.chunked_hits(r.raw_s1, r.raw_fr.drop("true_s1")),
     }
     out = {name: (lambda spark, d, f=f: f(run_of(spark, d))) for name, f in of.items()}
-    out |= {f"{name}_all_orders": (lambda spark, d, f=f: f(run_of(spark, d, True))) for name, f in of.items()}
     out["dense_topk"] = _dense
-    out["dense_topk_all"] = _dense_all
     out["script_census"] = lambda spark, d: audit.script_census(spark.read.parquet(f"{d}/documents.parquet").select(F.col("lang").alias("grp"), "text"))
     out["proxy_generate"] = lambda spark, d: proxy.generate(spark).frames["S2"]
     return out

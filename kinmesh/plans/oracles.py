@@ -187,6 +187,10 @@ def _three(a: str, b: str) -> str:
     return f"CASE WHEN coalesce({a}, '') = '' OR coalesce({b}, '') = '' THEN 0.0 WHEN {a} = {b} THEN 1.0 ELSE 2.0 END"
 
 
+def _numbers(a: str) -> str:
+    return rf"array_to_string(list_sort(list_distinct(regexp_extract_all({a}, '\d+'))), ',')"
+
+
 def _sorted(a: str) -> str:
     return f"array_to_string(list_sort(list_filter(string_split({a}, ' '), lambda t: t <> '')), ' ')"
 
@@ -215,7 +219,7 @@ SELECT token, df FROM idf WHERE df >= (SELECT min(df) FROM o WHERE i >= least(n
     q["key_candidates"] = f"{WITH},{NORMS},{IDF},{KEYS} SELECT frag_id, s1_id, floor(score * 1e6 + 1e-3) / 1e6 AS score FROM keyed"
     q["confident_key_hits"] = f"{WITH},{NORMS},{IDF},{KEYS} SELECT frag_id, s1_id FROM sure"
     q["dense_topk"] = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
-s AS (SELECT CAST(a.vec_id AS VARCHAR) AS frag_id, CAST(b.vec_id AS VARCHAR) AS s1_id, round(list_cosine_similarity(a.e, b.e), 9) AS score FROM v a, v b WHERE a.vec_id % 2 = 1 AND b.vec_id % 2 = 0)
+s AS (SELECT CAST(a.vec_id AS VARCHAR) AS frag_id, CAST(b.vec_id AS VARCHAR) AS s1_id, round(list_cosine_similarity(a.e, b.e), 9) AS score FROM v a, v b WHERE a.vec_id <> b.vec_id)
 SELECT frag_id, s1_id, floor(score * 1e6 + 1e-3) / 1e6 AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY frag_id ORDER BY score DESC, s1_id) - 1 AS rank FROM s) WHERE rank < 10"""
     q["rrf_fusion"] = f"{BLOCKED} SELECT frag_id, s1_id, round(rrf_score, 6) AS rrf_score, CAST(rrf_rank AS INTEGER) AS rrf_rank, forced FROM fused"
     q["invert_candidates"] = f"{BLOCKED} SELECT s1_id, string_agg(DISTINCT frag_id, ',' ORDER BY frag_id) AS frag_ids FROM fused GROUP BY 1"
@@ -241,9 +245,11 @@ SELECT slice, value, count(*) AS true_pairs, round(count(*) FILTER (WHERE hit) /
     differ = lambda a, b: f"len(list_filter({a}, lambda t: NOT list_contains({b}, t) AND list_contains({branch}, t))) > 0"
     q["pair_features_text"] = f"""{PAIRS} SELECT frag_id, s1_id, round({_bag('fn', 'sn')}, 6) AS name_ratio, round({_bag('fc', 'sc')}, 6) AS name_core_ratio, round({_set('fc', 'sc')}, 6) AS name_token_set,
 round({_bag(_sorted('fc'), _sorted('sc'))}, 6) AS name_token_sort, round({_bag('fa', 'sa')}, 6) AS addr_ratio, round({_set('fa', 'sa')}, 6) AS addr_token_set FROM pairs"""
-    # DuckDB compares bytes, the engine characters: the same for ASCII names alone
-    q["pair_name_jaro"] = rf"{PAIRS} SELECT frag_id, s1_id, round(CASE WHEN fc = '' OR sc = '' THEN 0.0 ELSE jaro_winkler_similarity(fc, sc) END, 6) AS name_jaro FROM pairs WHERE NOT regexp_matches(concat(fc, sc), '[^\x00-\x7F]')"
-    q["pair_features_state"] = f"""{PAIRS} SELECT frag_id, s1_id, round(rrf_score, 6) AS rrf_score, CAST(rrf_rank AS DOUBLE) AS rrf_rank, {_three('fh', 'sh')} AS house_state, {_three("array_to_string(fu, ',')", "array_to_string(su, ',')")} AS unit_state,
+    # DuckDB compares bytes, the engine characters: each accented letter becomes a byte that no normalised name holds
+    accents = "àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœßāēīōū"
+    single = lambda c: "translate({}, '{}', {})".format(c, accents, " || ".join(f"chr({i})" for i in range(1, 9)) + " || '!$%()*+,.:;<=>?@[]^_`{|}~'")
+    q["pair_name_jaro"] = f"{PAIRS} SELECT frag_id, s1_id, round(CASE WHEN fc = '' OR sc = '' THEN 0.0 ELSE jaro_winkler_similarity({single('fc')}, {single('sc')}) END, 6) AS name_jaro FROM pairs"
+    q["pair_features_state"] = f"""{PAIRS} SELECT frag_id, s1_id, round(rrf_score, 6) AS rrf_score, CAST(rrf_rank AS DOUBLE) AS rrf_rank, {_three('fh', 'sh')} AS house_state, {_three(_numbers('fn'), _numbers('sn'))} AS name_number_match, {_three("array_to_string(fu, ',')", "array_to_string(su, ',')")} AS unit_state,
 CASE WHEN coalesce(fp, '') = '' OR coalesce(sp, '') = '' THEN 0.0 WHEN fp = sp THEN 1.0 WHEN substr(fp, 1, 3) = substr(sp, 1, 3) THEN 2.0 ELSE 3.0 END AS postcode_state,
 CASE WHEN len(fl) = 0 OR len(sl) = 0 THEN 0.0 WHEN list_has_any(fl, sl) THEN 1.0 ELSE 2.0 END AS suffix_state, CASE WHEN {one('fc', 'sc')} OR {one('sc', 'fc')} THEN 1.0 ELSE 0.0 END AS acronym,
 CASE WHEN {differ('ft', 'st')} OR {differ('st', 'ft')} THEN 1.0 ELSE 0.0 END AS branch_word_conflict,
@@ -282,7 +288,7 @@ SELECT v."column", value, count(*) AS n, round(count(*) / any_value(total), 6) A
 SELECT 'wrong_prefix' AS problem, source, entity_id FROM r WHERE NOT starts_with(entity_id, source || '-') UNION ALL
 SELECT 'repeated', source, entity_id FROM r GROUP BY 1, 2, 3 HAVING count(*) > 1 UNION ALL SELECT 'shared', min(source), entity_id FROM r GROUP BY 3 HAVING count(DISTINCT source) > 1"""
     q["validator_violations"] = f"""{DECODED}, m AS (SELECT s1_id, frag_id FROM predicted UNION ALL SELECT s1_id, 'S2-unknown' FROM predicted WHERE s1_id LIKE '%7' GROUP BY 1)
-SELECT 'missing_row' AS problem, entity_id AS s1_id, NULL AS detail FROM s1 WHERE entity_id NOT IN (SELECT s1_id FROM m) UNION ALL
-SELECT 'unknown_id', s1_id, frag_id FROM m WHERE frag_id NOT IN (SELECT entity_id FROM fr) UNION ALL
-SELECT 'not_a_candidate', s1_id, frag_id FROM m WHERE NOT EXISTS (SELECT 1 FROM fused c WHERE c.s1_id = m.s1_id AND c.frag_id = m.frag_id)"""
+SELECT 'missing_row' AS problem, entity_id AS s1_id, NULL AS detail FROM s1 ANTI JOIN m ON m.s1_id = s1.entity_id UNION ALL
+SELECT 'unknown_id', s1_id, frag_id FROM m ANTI JOIN fr ON fr.entity_id = m.frag_id UNION ALL
+SELECT 'not_a_candidate', s1_id, frag_id FROM m ANTI JOIN fused c ON c.s1_id = m.s1_id AND c.frag_id = m.frag_id"""
     return q
