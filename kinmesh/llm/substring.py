@@ -1,25 +1,29 @@
-"""Removal of long repeated spans through a compacted de Bruijn graph of words.
-
-Word k-mers are the graph's material.  Keeping a node for each position would move
-every word of the corpus many times, so the graph is compacted as it is built: of the
-k-mers in each window of `span` words the one with the least hash is the window's node,
-which depends on the window's words alone, so equal windows have equal nodes.  The
-neighbouring windows of one node form one path of words, the node's edge, named by a
-128-bit hash of its words.  A shuffle of nodes and edges then tells
-  - nodes in one document only: nothing there repeats;
-  - nonbranching repeated nodes, with one edge in all documents: the path is one, and
-    one comparison of documents decides all its windows;
-  - branching nodes: their distinct edges, one source each, are spelled out from their
-    coordinates, and each window's words are compared by a 128-bit hash.
-An edge that itself occurs in an earlier document is decided as a whole in either case.
-Joins carry the decisions back to coordinates, where runs of paths merge to spans.
-
-A word goes if a window that covers it also starts in a document with a smaller doc_id.
+"""Removal of long repeated spans by compaction of a de Bruijn graph of words.
+
+Nodes are word k-mers: of the k-mers in each window of `span` words the one with the
+least hash, which depends on the window's words alone, so equal windows have equal
+nodes.  An edge leads from a text's node to its next one; it stands for the words of all
+windows of its node there, is named by a 128-bit hash of these words, and knows the edge
+that follows it.  A shuffle tells which nodes and edges repeat in another document; all
+others are left behind there.
+
+Repeated edges are compacted through joins: an edge and its follower are nonbranching if
+each occurs as often as the other and always together, and the chains of nonbranching
+pairs are found as components in Spark.  Each chain is one path, which a text always
+takes as a whole.  Where a node has several edges, paths branch; the windows of each
+distinct edge there are taken one by one.
+
+Source coordinates then verify: the words of every path and window are read again from
+the texts at their coordinates, and two are the same only if a cryptographic digest of
+their words is.  A word goes if a window that covers it also starts in a document with a
+smaller doc_id.  What is kept is the corpus's repeats alone: one row for each path of a
+text, not for each of its words.
 
 Defined results: a null or empty text has no words; rows without a doc_id are nobody's
 source and keep all words; rows that repeat a doc_id are one document for comparison,
 each with its own text; texts shorter than a window keep all words; an empty table
-gives no rows; extra columns are carried along by `remove`.
+gives no rows; extra columns are carried along by `remove`, but for text, n_words,
+n_removed and kept_sha256, which it makes anew.
 """
 
 from __future__ import annotations
@@ -32,7 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stage, tidy
+from .common import slices, stage, tidy, unstage
+from .components import components
 
 SPAN, K = 50, 16
 #: An odd multiplier of a rolling hash modulo 2^64, and its inverse.
@@ -49,11 +54,6 @@ def _power(base: int, n: int) -> np.ndarray:
     return _powers[base][:n]
 
 
-def row_key(doc_id: int, text: str) -> int:
-    """Tells rows apart whose doc_id is the same and whose text is not."""
-    return xxhash.xxh64_intdigest(text.encode(), doc_id & 0xFFFFFFFF) - (1 << 63)
-
-
 class Words:
     """The words of a text, one space between them, and where each starts and ends."""
 
@@ -94,44 +94,69 @@ class Words:
 
 
 def _edges(span: int, k: int):
+    """(node, edge, next, doc_id, row, at, n): an edge stands for n windows from word `at` on."""
+
     def run(batches):
-        for b in batches:
-            node, edge, doc, row, at, n = [], [], [], [], [], []
-            for d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if d is None or not text:
-                    continue
+        for b in slices(batches):
+            node, edge, after, doc, row, at, n = [], [], [], [], [], [], []
+            for d, own, text in zip(*(c.to_pylist() for c in b.columns)):
                 w = Words(text)
                 nodes, first, windows = w.paths(span, k)
                 if not len(nodes):
                     continue
+                named = [xxhash.xxh3_128_digest(w.line[a:c]) for a, c in zip(w.starts[first].tolist(), w.ends[first + windows + span - 2].tolist())]
                 node.append(nodes.view(np.int64))
-                edge += [xxhash.xxh3_128_digest(w.line[a:c]) for a, c in zip(w.starts[first].tolist(), w.ends[first + windows + span - 2].tolist())]
+                edge += named
+                after += [edge_id(e) for e in named[1:]] + [None]
                 doc.append(np.full(len(nodes), d, np.int64))
-                row.append(np.full(len(nodes), row_key(d, text), np.int64))
+                row.append(np.full(len(nodes), own, np.int64))
                 at.append(first.astype(np.int32))
                 n.append(windows.astype(np.int32))
             join = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0, t))
             yield pa.RecordBatch.from_arrays(
-                [join(node, np.int64), pa.array(edge, pa.binary()), join(doc, np.int64), join(row, np.int64), join(at, np.int32), join(n, np.int32)],
-                ["node", "edge", "doc_id", "row", "at", "n"],
+                [join(node, np.int64), pa.array(edge, pa.binary()), pa.array(after, pa.int64()), join(doc, np.int64), join(row, np.int64), join(at, np.int32), join(n, np.int32)],
+                ["node", "edge", "next", "doc_id", "row", "at", "n"],
             )
 
     return run
 
 
+def edge_id(edge: bytes) -> int:
+    """The first eight bytes of a name, as SQL's conv of its hex digits reads them."""
+    return int.from_bytes(edge[:8], "big", signed=True)
+
+
+def joined(parts: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """(at, n) of the paths that edges (at, n, path, edge) make; a path's edges follow on one
+    another, and one that comes again begins the path anew."""
+    out, end, last, start = [], None, None, None
+    for at, n, path, edge in sorted(parts):
+        if path == last and at == end and edge != start:
+            out[-1] = (out[-1][0], out[-1][1] + n)
+        else:
+            out.append((at, n))
+            start = edge
+        end, last = at + n, path
+    return out
+
+
 def _spelled(span: int):
-    """Each window of the listed paths: (window, doc_id, row, at)."""
+    """The words at each coordinate: (words, doc_id, row, at, n), words a digest of n windows."""
 
     def run(batches):
-        for b in batches:
-            for d, text, paths in zip(*(c.to_pylist() for c in b.columns)):
-                w, row, hashed, at = Words(text), row_key(d, text), [], []
-                for p in paths:
-                    for i in range(p["at"], p["at"] + p["n"]):
-                        hashed.append(xxhash.xxh3_128_digest(w.text(i, i + span)))
-                        at.append(i)
-                n = len(at)
-                yield pa.RecordBatch.from_arrays([pa.array(hashed, pa.binary()), pa.array([d] * n, pa.int64()), pa.array([row] * n, pa.int64()), pa.array(at, pa.int32())], ["window", "doc_id", "row", "at"])
+        for b in slices(batches, 200):
+            key, doc, row, at, n = [], [], [], [], []
+            for d, own, text, parts in zip(*(c.to_pylist() for c in b.columns)):
+                w = Words(text)
+                spans = joined([(p["at"], p["n"], p["path"], p["id"]) for p in parts if p["path"] is not None])
+                spans += [(i, 1) for p in parts if p["path"] is None for i in range(p["at"], p["at"] + p["n"])]
+                key += [hashlib.blake2b(w.text(a, a + c + span - 1), digest_size=16).digest() for a, c in spans]
+                doc += [d] * len(spans)
+                row += [own] * len(spans)
+                at += [a for a, _ in spans]
+                n += [c for _, c in spans]
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((key, doc, row, at, n), kinds)], ["words", "doc_id", "row", "at", "n"])
 
     return run
 
@@ -145,67 +170,76 @@ def covered(n: int, spans: list) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
+def paths(met: DataFrame) -> DataFrame:
+    """(edge, path) of the edges on compacted paths of two or more; met: id, next of every occurrence of the repeated edges."""
+    steps = met.groupBy("id").agg(F.count("*").alias("n"), F.count("next").alias("followed"), F.min("next").alias("next"), F.max("next").alias("other"))
+    steps = stage(steps, "steps")
+    follower = steps.select(F.col("id").alias("next"), F.col("n").alias("n_next"))
+    links = steps.filter("followed = n and next = other and next <> id").join(follower, "next").filter("n = n_next")
+    return components(links.select(F.col("id").alias("u"), F.col("next").alias("v"))).select(F.col("node").alias("id"), F.col("root").alias("path"))
+
+
+def rows_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, text) of the rows that take part; row tells texts of one doc_id apart."""
+    some = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return some.select("doc_id", F.xxhash64("text", "doc_id").alias("row"), "text")
+
+
 def repeated(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     """(doc_id, row, spans): for each row with words to remove, arrays of (first, last + 1)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    edges = stage(texts.mapInArrow(_edges(span, k), "node long, edge binary, doc_id long, row long, at int, n int"), "edges")
+    texts = rows_of(docs)
+    edges = stage(texts.mapInArrow(tidy(_edges(span, k)), "node long, edge binary, next long, doc_id long, row long, at int, n int"), "edges")
     by_edge = edges.groupBy("node", "edge").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     by_edge = stage(by_edge, "distinct-edges")
     by_node = by_edge.groupBy("node").agg(F.count("*").alias("n_edges"), F.min("first").alias("low"), F.max("last").alias("high")).filter("low < high")
     by_node = stage(by_node.select("node", "n_edges"), "repeated-nodes")
     live = by_edge.join(by_node, "node").filter("n_edges > 1 or first < last")
-    live = stage(live.select("node", "edge", "first", (F.col("n_edges") > 1).alias("branching")), "repeated-edges")
-    met = stage(edges.join(live, ["node", "edge"]).filter("doc_id > first or branching").select("doc_id", "row", "at", "n", (F.col("doc_id") > F.col("first")).alias("whole")), "paths")
-
-    sources = met.filter("not whole").groupBy("row", "doc_id").agg(F.collect_list(F.struct("at", "n")).alias("paths"))
-    found = texts.filter("doc_id is not null and text is not null").join(sources.withColumnRenamed("row", "source_row"), "doc_id")
-    windows = stage(found.select("doc_id", "text", "paths", "source_row").mapInArrow(_own_rows(_spelled(span)), "window binary, doc_id long, row long, at int"), "windows")
-    earliest = stage(windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("window", "first"), "repeated-windows")
-    later = windows.join(earliest, "window").filter("doc_id > first").select("doc_id", "row", "at", F.lit(1).alias("n"))
-    runs = met.filter("whole").select("doc_id", "row", "at", "n").union(later)
+    live = stage(live.select("node", "edge", "first", (F.col("first") < F.col("last")).alias("twice"), (F.col("n_edges") > 1).alias("branching")), "repeated-edges")
+    unstage(by_edge)
+    unstage(by_node)
+    name = F.conv(F.hex(F.substring("edge", 1, 8)), 16, -10).cast("long")
+    met = edges.join(live, ["node", "edge"]).select(name.alias("id"), "next", "doc_id", "row", "at", "n", "twice", (F.col("branching") & (F.col("doc_id") == F.col("first"))).alias("source"))
+    met = stage(met, "met")
+    unstage(edges)
+    unstage(live)
+
+    twice = met.filter("twice")
+    on_path = twice.join(paths(twice), "id", "left").select("doc_id", "row", F.struct("at", "n", F.coalesce("path", "id").alias("path"), "id").alias("part"))
+    alone = met.filter("source").select("doc_id", "row", F.struct("at", "n", F.lit(None).cast("long").alias("path"), "id").alias("part"))
+    parts = on_path.union(alone).groupBy("doc_id", "row").agg(F.collect_set("part").alias("parts"))
+    found = texts.join(parts, ["doc_id", "row"]).select("doc_id", "row", "text", "parts")
+    found = stage(found.mapInArrow(tidy(_spelled(span)), "words binary, doc_id long, row long, at int, n int"), "spelled")
+    unstage(met)
+    earliest = found.groupBy("words").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    later = found.join(stage(earliest.select("words", "first"), "repeated-words"), "words").filter("doc_id > first")
     spans = F.struct(F.col("at").alias("first"), (F.col("at") + F.col("n") + span - 1).alias("last"))
-    return runs.groupBy("doc_id", "row").agg(F.collect_list(spans).alias("spans"))
-
-
-def _own_rows(run):
-    """Of texts that share a doc_id, keep the one that the listed paths belong to."""
-
-    def only(batches):
-        for b in batches:
-            own = [row_key(d, t) == r for d, t, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist())]
-            yield from run([b.filter(pa.array(own, pa.bool_())).select([0, 1, 2])])
-
-    return only
+    return later.groupBy("doc_id", "row").agg(F.collect_set(spans).alias("spans"))
 
 
 def remove(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     """docs with `text` as the kept words joined by one space, and n_words, n_removed, kept_sha256."""
-    found = repeated(docs, span, k).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list(F.struct("row", "spans")).alias("__rows"))
+    found = repeated(docs, span, k).select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("spans").alias("__spans"))
     kept = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "kept_sha256")]
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             out = []
-            for d, text, rows in zip(b.column("__id").to_pylist(), b.column("text").to_pylist(), b.column("__rows").to_pylist()):
+            for text, spans in zip(b.column("text").to_pylist(), b.column("__spans").to_pylist()):
                 words = (text or "").encode().split()
-                spans = []
-                if rows:
-                    own = row_key(d, text or "")
-                    spans = [(s["first"], s["last"]) for r in rows if r["row"] == own for s in r["spans"]]
+                stay, removed = b" ".join(words), 0
                 if spans:
-                    gone = covered(len(words), spans)
+                    gone = covered(len(words), [(s["first"], s["last"]) for s in spans])
                     stay = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
                     removed = int(gone.sum())
-                else:
-                    stay, removed = b" ".join(words), 0
                 out.append((stay.decode(), len(words), removed, hashlib.sha256(stay).hexdigest()))
             cols = list(zip(*out)) or [[]] * 4
             made = [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string()))]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + made, [*kept, "text", "n_words", "n_removed", "kept_sha256"])
 
     schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept) + "text string, n_words long, n_removed long, kept_sha256 string"
-    whole = docs.select(*kept, F.col("doc_id").cast("long").alias("__id"), "text")
-    return whole.join(found, F.col("__id") == F.col("__doc"), "left").drop("__doc").mapInArrow(tidy(run), schema)
+    own = F.col("doc_id").cast("long")
+    whole = docs.select(*kept, "text", own.alias("__id"), F.xxhash64("text", own).alias("__row"))
+    return whole.join(found, ["__id", "__row"], "left").select(*kept, "text", "__spans").mapInArrow(tidy(run), schema)
 
 
 def query(docs: DataFrame) -> DataFrame:
