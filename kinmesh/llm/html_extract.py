@@ -7,9 +7,12 @@ again: the elements on the host's winning path are the article; a page without o
 falls back on its own best container, and on its body.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and
-styles are left out wherever they stand, told by tag, role, class or id.  Character
-references are decoded, white space inside a block becomes one space, blocks are
-trimmed and joined in page order by one space.
+styles are left out wherever they stand, told by tag, role, class or id.  A form, or an
+element that only its class or id speaks against, is judged by content too: if what is
+kept besides has less than a QUARTER of its running text, it is the page's frame or its
+article and stays (reader comments never do).  Character references are decoded, white
+space inside a block becomes one space, blocks are trimmed and joined in page order by
+one space.  A path is named by a hash, so a page's memory is linear at any depth.
 
 Defined results: null or empty html gives an empty text; a null url is a host of its
 own name; broken markup is read as far as it goes (unclosed elements end with their
@@ -23,6 +26,7 @@ import html
 import re
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,42 +55,61 @@ CLOSES |= {
     "th": (frozenset({"td", "th", "p"}), frozenset({"table", "tr"})),
 }
 SCOPE = frozenset({"html", "body", "table", "td", "th", "article", "section", "div", "main", "li", "blockquote"})
-OUT_TAGS = frozenset("head title nav header footer aside form menu button dialog object canvas audio video label fieldset".split())
+OUT_TAGS = frozenset("head title nav header footer aside menu button dialog object canvas audio video label fieldset".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 OUT_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer sidebar aside rail ad ads advert adverts advertisement adsense sponsor sponsored promo promotion banner "
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments disqus respond reply replies share sharing social "
     "related recommended recommendations widget widgets pagination pager toolbar search skip print legal copyright".split()
 )
-COMMENT_WORDS = frozenset("comment comments disqus reply replies respond ad ads advert advertisement sponsored promo related".split())
+COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
+MAIN_WORDS = COMMENT_WORDS | frozenset("ad ads advert advertisement sponsored promo related".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-FRAME = frozenset({"has", "with", "without", "no", "page", "site", "layout", "wrapper"})
-SHARE = 0.3
+#: Words beside which another one tells how a page is laid out, not what an element is; the second set as a name's last word.
+MODIFIERS, FRAME = frozenset({"has", "with", "without", "no"}), frozenset({"page", "site", "layout", "template"})
+SHARE, QUARTER = 0.3, 0.25
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
+KEPT, JUDGED, OUT = 0, 1, 2
 
 
-def _left_out(tag: str, found: dict) -> bool:
+def _standing(tag: str, found: dict) -> int:
+    """KEPT, OUT, or JUDGED: left out unless its content speaks for it."""
     if tag in OUT_TAGS or "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        return True
+        return OUT
     if found.get("role", "").lower() in OUT_ROLES or "display:none" in found.get("style", "").replace(" ", "").lower():
-        return True
-    words = COMMENT_WORDS if tag in ("article", "main") else OUT_WORDS
+        return OUT
     if tag in ("html", "body"):
-        return False
+        return KEPT
+    words = MAIN_WORDS if tag in ("article", "main") else OUT_WORDS
+    out = JUDGED if tag == "form" else KEPT
     for name in f"{found.get('class', '')} {found.get('id', '')}".split():
         parts = [w.lower() for w in WORDS.findall(name)]
-        if not FRAME.intersection(parts) and words.intersection(parts):
-            return True
-    return False
+        if not parts or MODIFIERS.intersection(parts) or parts[-1] in FRAME:
+            continue
+        if COMMENT_WORDS.intersection(parts):
+            return OUT
+        if words.intersection(parts):
+            out = JUDGED
+    return out
+
+
+def _worth(text: str, linked: int) -> float:
+    """Running text, the less the more of it is links."""
+    return (len(text) - linked) * (1 - linked / len(text))
 
 
 class Page:
-    """Elements in order (parent, tag, path, left out) and blocks of text (element, text, of it in links)."""
+    """Elements in order (parent, tag, path, nearest container, nearest article, judged one that
+    leaves it out) and blocks of text (element, text, of it in links)."""
 
     def __init__(self, source: str | None):
-        self.parent, self.tag, self.path, self.out = [-1], [""], [""], [False]
+        self.parent, self.tag, self.path = [-1], [""], [0]
+        self.box, self.main, self.judged = [0], [0], [0]
         self.blocks: list[tuple[int, str, int]] = []
+        self._doubtful: list[tuple[int, str, int]] = []
+        self._all: list[tuple[int, str, int]] = []
         self._open, self._text, self._linked, self._links = [0], [], 0, 0
+        self._count: dict[str, int] = {}
         at, source = 0, source or ""
         for m in TOKEN.finditer(source):
             if m.start() > at:
@@ -101,6 +124,29 @@ class Page:
         if at < len(source):
             self._say(source[at:])
         self._flush()
+        self._judge()
+
+    def _judge(self):
+        """Keep the judged elements whose content is the page's."""
+        if not self._doubtful:
+            return
+        order = {id(b): i for i, b in enumerate(self._all)}
+        while True:
+            held: dict[int, float] = {}
+            for e, text, linked in self._doubtful:
+                j = self.judged[e]
+                held[j] = held.get(j, 0.0) + _worth(text, linked)
+            best = max(held, key=lambda j: (held[j], -j), default=0)
+            if not best or sum(_worth(t, n) for _, t, n in self.blocks) >= QUARTER * held[best] or held[best] <= 0:
+                return
+            kept, e = set(), best  # with what it stands in; the next best has no more text, so two rounds end this
+            while e > 0:
+                kept.add(e)
+                e = self.judged[self.parent[e]]
+            self.judged = [0 if j in kept else j for j in self.judged]
+            freed = [b for b in self._doubtful if not self.judged[b[0]]]
+            self._doubtful = [b for b in self._doubtful if self.judged[b[0]]]
+            self.blocks = sorted(self.blocks + freed, key=lambda b: order[id(b)])
 
     def _say(self, text: str):
         if "&" in text:
@@ -112,8 +158,11 @@ class Page:
     def _flush(self):
         if self._text:
             text = " ".join("".join(self._text).split())
-            if text and not self.out[self._open[-1]]:
-                self.blocks.append((self._open[-1], text, min(self._linked, len(text))))
+            e = self._open[-1]
+            if text and self.judged[e] >= 0:
+                block = (e, text, min(self._linked, len(text)))
+                self._all.append(block)
+                (self._doubtful if self.judged[e] else self.blocks).append(block)
             self._text.clear()
         self._linked = 0
 
@@ -127,22 +176,34 @@ class Page:
             return
         if tag in CLOSES:
             ends, within = CLOSES[tag]
+            left = sum(self._count.get(t, 0) for t in ends)
             for i in range(len(self._open) - 1, 0, -1):
                 name = self.tag[self._open[i]]
-                if name in ends:
-                    del self._open[i:]
-                elif name in within or name in SCOPE:
+                if not left or name not in ends and (name in within or name in SCOPE):
                     break
+                if name in ends:
+                    self._end(i)
+                    left = sum(self._count.get(t, 0) for t in ends)
         found = {}
         for m in ATTRIBUTE.finditer(attributes) if attributes else ():
             found.setdefault(m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or "")
-        up = self._open[-1]
+        up, e = self._open[-1], len(self.tag)
         names = sorted(set(re.sub(r"\d+", "0", found.get("class", "")).split()))
         self.parent.append(up)
         self.tag.append(tag)
-        self.path.append(f"{self.path[up]}/{'.'.join([tag, *names])}")
-        self.out.append(self.out[up] or _left_out(tag, found))
-        self._open.append(len(self.tag) - 1)
+        self.path.append(xxhash.xxh3_64_intdigest(f"{self.path[up]}/{'.'.join([tag, *names])}") - (1 << 63))
+        self.box.append(e if tag in CONTAINERS else self.box[up])
+        self.main.append(e if tag in ("article", "main") else self.main[up])
+        standing = _standing(tag, found)
+        self.judged.append(-1 if standing == OUT or self.judged[up] < 0 else e if standing == JUDGED else self.judged[up])
+        self._open.append(e)
+        self._count[tag] = self._count.get(tag, 0) + 1
+
+    def _end(self, i: int):
+        """Close the i-th open element and all in it."""
+        for e in self._open[i:]:
+            self._count[self.tag[e]] -= 1
+        del self._open[i:]
 
     def _close(self, tag: str):
         if tag == "a":
@@ -150,9 +211,9 @@ class Page:
         if tag in INLINE:
             return
         self._flush()
-        for i in range(len(self._open) - 1, 0, -1):
+        for i in range(len(self._open) - 1, 0, -1) if self._count.get(tag) else ():
             if self.tag[self._open[i]] == tag:
-                del self._open[i:]
+                self._end(i)
                 break
             if self.tag[self._open[i]] in ("article", "main", "body", "table") and tag not in ("article", "main", "body", "html", "table", "div", "section"):
                 break
@@ -162,31 +223,21 @@ class Page:
         """Containers by the running text in them: all of it for the nearest, half for the next one up."""
         out: dict[int, float] = {}
         for element, text, linked in self.blocks:
-            worth = (len(text) - linked) * (1 - linked / len(text))
+            worth = _worth(text, linked)
             if worth <= 0:
                 continue
-            share, e = 1.0, element
+            share, e = 1.0, self.box[element]
             while e > 0 and share > 0.2:
-                if self.tag[e] in CONTAINERS:
-                    out[e] = out.get(e, 0.0) + share * worth
-                    share /= 2
-                e = self.parent[e]
+                out[e] = out.get(e, 0.0) + share * worth
+                share /= 2
+                e = self.box[self.parent[e]]
         return out
 
-    def _whole(self, e: int) -> int:
-        """The article or main element around e, or e itself."""
-        up = e
-        while up > 0:
-            if self.tag[up] in ("article", "main"):
-                return up
-            up = self.parent[up]
-        return e
-
     def best(self) -> list[tuple[int, float]]:
         """Containers with their share of the best one's score, the best first."""
         found: dict[int, float] = {}
         for e, s in self.scores().items():
-            whole = self._whole(e)
+            whole = self.main[e] or e  # the article around it
             found[whole] = max(found.get(whole, 0.0), s)
         top = max(found.values(), default=0.0)
         return sorted(((e, s / top) for e, s in found.items()), key=lambda x: (-x[1], x[0]))
@@ -198,9 +249,9 @@ class Page:
             inside[e] = e in roots or inside[self.parent[e]]
         return " ".join(t for e, t, _ in self.blocks if inside[e])
 
-    def article(self, winners: list[str]) -> str:
+    def article(self, winners: list[int]) -> str:
         for path in winners:
-            roots = {e for e, p in enumerate(self.path) if p == path and not self.out[e]}
+            roots = {e for e, p in enumerate(self.path) if p == path and not self.judged[e]}
             if roots and (text := self.text(roots)):
                 return text
         best = self.best()
@@ -211,18 +262,18 @@ class Page:
 
 def _votes(batches):
     for b in slices(batches):
-        votes: dict[tuple[str, str], float] = {}
+        votes: dict[tuple[str, int], float] = {}
         for host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             page = Page(source)
             for e, share in page.best()[:1]:
                 votes[host, page.path[e]] = votes.get((host, page.path[e]), 0.0) + share
         keys = list(votes)
-        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in keys], pa.string()), pa.array([p for _, p in keys], pa.string()), pa.array(list(votes.values()), pa.float64())], ["host", "path", "votes"])
+        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in keys], pa.string()), pa.array([p for _, p in keys], pa.int64()), pa.array(list(votes.values()), pa.float64())], ["host", "path", "votes"])
 
 
 def winning_paths(hosted: DataFrame) -> DataFrame:
     """(host, winners): paths with at least SHARE of the first one's votes, most votes first."""
-    votes = hosted.select("__host", "html").mapInArrow(tidy(_votes), "host string, path string, votes double")
+    votes = hosted.select("__host", "html").mapInArrow(tidy(_votes), "host string, path long, votes double")
     votes = votes.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"))
     most = votes.groupBy("host").agg(F.max("votes").alias("most"))
     # at most 1 / SHARE paths of a host pass, by the sum of its votes; near ties may add a few

@@ -446,3 +446,29 @@ def test_pii_many_context_and_names(spark):
     assert [[(s.kind, s.start) for s in got[i].pii] for i in (2, 3, 4, 5, 6)] == [[("secret", 9)], [], [("secret", 0)], [("ssn", 0)], []]
     out = pii.query(df).filter("doc_id = 2").first()
     assert (out.spans, out.scores) == ("secret:9:49", "0.80")
+
+
+ARTICLE = "<p>The article goes on at some length here.</p>"
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><form><nav>menu</nav><div>{ARTICLE}</div><div class=sidebar>aside words</div></form></body>", "The article goes on at some length here."),
+    (f"<body><article class='post promo'>{ARTICLE}</article><footer>foot</footer></body>", "The article goes on at some length here."),
+    (f"<body><div class=legal-content>{ARTICLE}</div><div class=cookie-notice>cookies</div></body>", "The article goes on at some length here."),
+    (f"<body>{ARTICLE}<div class=site-footer>foot</div><div class=page-sidebar>side</div><div class=site-nav>nav</div></body>", "The article goes on at some length here."),
+    (f"<body class=has-sidebar><div class=sidebar-layout>{ARTICLE}</div><form>search words</form></body>", "The article goes on at some length here."),
+    ("<body><p>Short.</p><div class=comments><p>" + "reader says " * 50 + "</p></div></body>", "Short."),
+    ("<body>" + "<div class=promo>" * 4000 + "deep</body>", "deep"),
+    ("<ul>" * 8000 + "<li>x", "x"),
+])
+def test_html_judged_by_content(page, want):
+    assert html_extract.Page(page).article([]) == want
+
+
+def test_html_votes_decide(spark):
+    story = "<div class=story><p>Story text of page {} that runs for a line or so.</p></div>"
+    extra = "<div class=extra><p>" + "Longer matter that is no story. " * 9 + "</p></div>"
+    rows = [(i, "https://Host.example/a", f"<body>{story.format(i)}</body>") for i in range(5)]
+    rows += [(5, "https://host.example/b", f"<body>{extra}{story.format(5)}</body>"), (6, "https://else.example/", f"<body>{extra}{story.format(6)}</body>")]
+    got = {r.page_id: r.text for r in html_extract.query(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[5] == "Story text of page 5 that runs for a line or so." and got[6].startswith("Longer matter")
