@@ -1,16 +1,18 @@
 """Toxicity by a weighted lexicon.
 
-Texts are folded (case, homoglyphs, digit and symbol substitutions inside words),
-cut into words, and matched by an Aho-Corasick automaton over learned terms: whole
+Texts are folded (case, accents, homoglyphs, invisible characters, digit and symbol
+substitutions inside words), cut into words, and matched by an Aho-Corasick automaton over learned terms: whole
 words and word beginnings, the latter for words that take many endings.  A hit
 inside an exception phrase does not count.  The weights of the hits, in sum and by
 length, go through a logistic curve to a score from 0 to 1.
 
 Terms, weights, exception phrases and the curve come from labelled training rows
-only.  Statistics of words cover all of them; the lexicon has at most MAX_TERMS
-terms and MAX_PHRASES phrases, the strongest first, and the curve is fitted on at
-most FIT_ROWS rows of each label, taken in the order of a hash.  Scores use the
-text alone.
+only.  Statistics of words cover all of them and words of any length; a word of over
+LONG_WORD characters counts by its beginnings, of which the longest has MAX_PREFIX.
+The size of the lexicon is a parameter of the model: MAX_TERMS terms and MAX_PHRASES
+phrases, the strongest first, far above what passes the tests of significance.  The
+curve is fitted on at most FIT_ROWS rows of each label, taken in the order of a hash.
+Scores use the text alone.
 
 Defined results: null and empty texts score as texts without a hit; null labels do
 not train; without labelled rows of both kinds every document gets the share of
@@ -33,8 +35,8 @@ from pyspark.sql import functions as F
 
 from .common import slices, small, stage, tidy
 
-MAX_TERMS, MAX_PHRASES, FIT_ROWS = 4096, 1024, 20_000
-MIN_PREFIX, MAX_PREFIX, MIN_ODDS = 4, 24, 2.5
+MAX_TERMS, MAX_PHRASES, FIT_ROWS = 200_000, 50_000, 20_000
+MIN_PREFIX, MAX_PREFIX, LONG_WORD, MIN_ODDS = 4, 24, 64, 2.5
 #: A term's counts must be this unlikely under the labels' shares (G statistic), and
 #: the words before it this varied: what one copied passage repeats is no abuse.
 MIN_SURPRISE, MIN_NEIGHBOURS = 20.0, 3
@@ -42,8 +44,8 @@ MIN_SURPRISE, MIN_NEIGHBOURS = 20.0, 3
 HOMOGLYPHS = str.maketrans("аеорсухіјѕԁһкмтвнгп" + "αβεικνορτυχη", "aeopcyxijsdhkmtbhrn" + "abeiknoptuxn")
 #: Digits and symbols written for letters.
 SUBSTITUTES = str.maketrans("0134578@$", "oieastbas")
-#: Harmless phrases that hold words of abuse.
-PHRASES = ("trash can", "trash bin", "trash bag", "clown fish", "circus clown", "pond scum", "sore loser")
+#: Marks over letters, soft hyphens, zero-width and direction characters, variation selectors.
+UNSEEN = re.compile("[\u0300-\u036f\u00ad\u034f\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]+")
 LOOKALIKE = re.compile("[\u0370-\u03ff\u0400-\u052f]")
 SYMBOL = re.compile("[0-9@$]")
 SUBSTITUTED = re.compile(r"(?<![^\W_@$])[^\W\d_]*+[0-9@$](?:[^\W_]|[@$])*+")
@@ -62,8 +64,8 @@ def fold(text: str | None) -> str:
     """Words of the folded text between single spaces, one space at either end."""
     if not text:
         return " "
-    if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
+    if not text.isascii():  # compatibility forms, marks apart from their letters, then without them
+        text = UNSEEN.sub("", unicodedata.normalize("NFKD", text))
     text = text.lower()
     if not text.isascii():
         if LOOKALIKE.search(text):
@@ -74,14 +76,18 @@ def fold(text: str | None) -> str:
     return " " + b" ".join(text.encode().translate(APART).split()).decode() + " "
 
 
+def _stem(word: str) -> str:
+    """The word, or of a long one as much as its longest beginning needs; a star tells that there is more."""
+    return word if len(word) <= LONG_WORD else word[:MAX_PREFIX] + "*"
+
+
 def _incidence(batches):
     """(word, toxic, clean): in how many texts of the batch a word is, by label."""
     for b in batches:
         tally: dict[str, list[int]] = {}
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            for w in set(text.split()):
-                if len(w) >= 3:
-                    tally.setdefault(w[:MAX_PREFIX], [0, 0])[0 if toxic else 1] += 1
+            for w in {_stem(w) for w in text.split()}:
+                tally.setdefault(w, [0, 0])[0 if toxic else 1] += 1
         words = list(tally)
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([tally[w][0] for w in words], pa.int64()), pa.array([tally[w][1] for w in words], pa.int64())], ["word", "toxic", "clean"])
 
@@ -92,8 +98,10 @@ def _odds(toxic, clean, n_toxic, n_clean):
 
 def _terms(word):
     """The word and its beginnings."""
-    beginnings = F.transform(F.sequence(F.lit(MIN_PREFIX), F.length(word)), lambda n: F.concat(F.lit(" "), F.substring(word, F.lit(1), n)))
-    return F.concat(F.array(F.concat(F.lit(" "), word, F.lit(" "))), F.when(F.length(word) >= MIN_PREFIX, beginnings).otherwise(F.array().cast("array<string>")))
+    size = F.least(F.length(word), F.lit(MAX_PREFIX))
+    beginnings = F.transform(F.sequence(F.lit(MIN_PREFIX), size), lambda n: F.concat(F.lit(" "), F.substring(word, F.lit(1), n)))
+    whole = F.when(word.endswith("*"), F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit(" "), word, F.lit(" "))))
+    return F.concat(whole, F.when(F.length(word) >= MIN_PREFIX, beginnings).otherwise(F.array().cast("array<string>")))
 
 
 def _neighbours(train: DataFrame, found: DataFrame) -> DataFrame:
@@ -104,7 +112,7 @@ def _neighbours(train: DataFrame, found: DataFrame) -> DataFrame:
             own = set()
             for folded in b.column(0).to_pylist():
                 words = folded.split()
-                own.update((w[:MAX_PREFIX], before) for before, w in zip(["", *words], words) if len(w) >= 3)
+                own.update((_stem(w), _stem(before)) for before, w in zip(["", *words], words))
             cols = list(zip(*own)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string())], ["word", "before"])
 
@@ -215,7 +223,7 @@ def learn_phrases(train: DataFrame, terms: dict[str, float]) -> frozenset:
 
     pairs = train.select("text", "toxic").mapInArrow(tidy(around), "phrase string, toxic long, clean long").groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     rows = pairs.filter("clean >= 3 and clean >= 9 * toxic").orderBy(F.desc("clean"), "phrase").limit(MAX_PHRASES).collect()
-    return frozenset(r["phrase"] for r in rows) | frozenset(PHRASES)
+    return frozenset(r["phrase"] for r in rows)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
