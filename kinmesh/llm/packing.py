@@ -94,20 +94,28 @@ class Encoder:
 
     def _encoded(self, chunks: list[bytes]):
         """(chunk, ids) of each."""
+        text = b" ".join(chunks).decode()
+        low = text.lower()
         split, words, rest = [], set(), set()
-        for c in chunks:
-            whole = c.decode()
-            letters = whole.rstrip(MARKS)
-            low = letters.lower()
-            if low.isalpha() and letters.isalpha() and "\u03a3" not in letters and (whole.isascii() or is_normalized("NFC", letters) and is_normalized("NFC", low)):
-                words.add(low)
-                marks = whole[len(letters) :]
+        # what NFC or a final sigma changes is left to the tokenizer, whole
+        if text.isascii() or "\u03a3" not in text and is_normalized("NFC", text) and is_normalized("NFC", low):
+            plain = zip(chunks, low.split(" "))
+        else:
+            wholes = [c.decode() for c in chunks]
+            sound = lambda w: "\u03a3" not in w and is_normalized("NFC", w) and is_normalized("NFC", w.lower())
+            plain = [(c, w.lower()) if sound(w) else (c, "") for c, w in zip(chunks, wholes)]
+        for c, w in plain:
+            letters = w.rstrip(MARKS)
+            if letters.isalpha():
+                words.add(letters)
+                marks = w[len(letters) :]
+                if marks:
+                    rest.add(marks)
+                split.append((c, letters, marks))
             else:
-                low, marks = whole, ""
+                whole = c.decode()
                 rest.add(whole)
-            if marks:
-                rest.add(marks)
-            split.append((c, low, marks))
+                split.append((c, whole, ""))
         held = self.parts
         held.find(())
         unknown = held.find([p for p in words | rest if p not in held])
