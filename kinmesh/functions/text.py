@@ -36,7 +36,7 @@ def _unaccent(series: pd.Series) -> pd.Series:
 
 
 def _script(text: str) -> str:
-    names = {unicodedata.name(c, "").split(" ")[0].lower() for c in text if c.isalpha()} - {""}
+    names = {unicodedata.name(c, "").split(" ")[0].lower() for c in set(text) if c.isalpha()} - {""}
     if not names:
         return "none"
     if names == {"latin"}:

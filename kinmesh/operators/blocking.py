@@ -86,8 +86,14 @@ def bm25(s1: DataFrame, frags: DataFrame, text: Column | None = None, limit: int
     f = F.col("tf")
     weight = F.col("idf") * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("size") / F.col("mean")))
     index = tf.join(df, "term").select("term", "s1_id", weight.alias("w"))
-    query = frags.select(F.col("entity_id").alias("frag_id"), F.explode(F.array_distinct(T.edge_trimmed_tokens(text))).alias("term"))
-    return ranked(query.join(index, "term").groupBy("frag_id", "s1_id").agg(F.round(F.sum("w"), 9).alias("score")), limit)
+    # fragments with the same indexed words have the same scores, so each set of words is scored once
+    asked = frags.select(F.col("entity_id").alias("frag_id"), F.explode(F.array_distinct(T.edge_trimmed_tokens(text))).alias("term"))
+    asked = asked.join(df.select("term"), "term", "left_semi").groupBy("frag_id").agg(F.array_sort(F.collect_list("term")).alias("asked"))
+    query = asked.select("asked").distinct().select("asked", F.explode("asked").alias("term"))
+    score = query.join(index, "term").groupBy("asked", "s1_id").agg(F.round(F.sum("w"), 9).alias("score"))
+    best = Window.partitionBy("asked").orderBy(F.desc("score"), "s1_id")
+    best = score.withColumn("rank", F.row_number().over(best) - 1).filter(F.col("rank") < limit)
+    return asked.join(best, "asked").select("frag_id", "s1_id", "score", "rank")
 
 
 def rare_tokens(records: DataFrame, weights: DataFrame) -> DataFrame:

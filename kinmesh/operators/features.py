@@ -112,18 +112,26 @@ def pair_features(candidates: DataFrame, frags: DataFrame, s1: DataFrame, idf: D
     weights = _weights(x.select(F.col("f_name_tokens").alias("a"), F.col("s_name_tokens").alias("b")).distinct(), idf)
     x = x.join(weights, (F.col("f_name_tokens") == F.col("a")) & (F.col("s_name_tokens") == F.col("b")), "left")
     fa, sa, fn, sn, fc, sc = (F.col(c) for c in ("f_addr_norm", "s_addr_norm", "f_name_norm", "s_name_norm", "f_name_core", "s_name_core"))
-    branch = F.array(*map(F.lit, R.BRANCHES))
-    only = lambda a, b: F.size(F.array_intersect(F.array_except(a, b), branch)) > 0
-    ft, st = F.col("f_name_tokens"), F.col("s_name_tokens")
-    units = lambda p: F.array_join(F.col(f"{p}_addr_numbers.units"), ",")
-    fs, ss = F.col("f_legal_suffixes"), F.col("s_legal_suffixes")
-    values = {
+    named = x.select("f_name_norm", "s_name_norm", "f_name_core", "s_name_core").distinct()
+    by_name = {
         "name_ratio": bag_ratio(fn, sn),
         "name_core_ratio": bag_ratio(fc, sc),
         "name_token_set": token_set(fc, sc),
         "name_token_sort": token_sort(fc, sc),
         "name_partial": partial(fc, sc),
         "name_jaro": jaro_winkler(fc, sc),
+        "name_number_match": three_state(_number_text(fn), _number_text(sn)),
+        "acronym": _acronym(fc, sc),
+    }
+    # names repeat: what follows from a pair of names alone is worked out once for each distinct pair
+    x = x.join(named.select("*", *[v.alias(n) for n, v in by_name.items()]), ["f_name_norm", "s_name_norm", "f_name_core", "s_name_core"])
+    branch = F.array(*map(F.lit, R.BRANCHES))
+    only = lambda a, b: F.size(F.array_intersect(F.array_except(a, b), branch)) > 0
+    ft, st = F.col("f_name_tokens"), F.col("s_name_tokens")
+    units = lambda p: F.array_join(F.col(f"{p}_addr_numbers.units"), ",")
+    fs, ss = F.col("f_legal_suffixes"), F.col("s_legal_suffixes")
+    values = {
+        **{n: F.col(n) for n in by_name},
         "addr_ratio": bag_ratio(fa, sa),
         "addr_token_set": token_set(fa, sa),
         "rrf_score": F.col("rrf_score"),
@@ -135,9 +143,7 @@ def pair_features(candidates: DataFrame, frags: DataFrame, s1: DataFrame, idf: D
         "house_state": three_state(F.col("f_addr_numbers.house_number"), F.col("s_addr_numbers.house_number")),
         "unit_state": three_state(units("f"), units("s")),
         "postcode_state": postcode_state(F.col("f_postcode"), F.col("s_postcode")),
-        "name_number_match": three_state(_number_text(fn), _number_text(sn)),
         "suffix_state": F.when((F.size(fs) == 0) | (F.size(ss) == 0), 0).when(F.arrays_overlap(fs, ss), 1).otherwise(2),
-        "acronym": _acronym(fc, sc),
         "branch_word_conflict": F.when(only(ft, st) | only(st, ft), 1).otherwise(0),
         "cand_count": F.col("cand_count"),
         "score_gap_to_best": F.col("score_gap_to_best"),
