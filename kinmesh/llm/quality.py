@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,6 @@ BUCKETS, WORDS, BINS = 32, 1 << 16, 2400
 TEXT = ("symbols", "capitals", "digits", "repeats", "distinct", "marks", "bars", "word_length", "line_words", "ends", "words", "empty", "odds", "odd_words")
 
 
-def word_bucket(word: bytes) -> int:
-    return zlib.crc32(word) % WORDS
-
-
 def text_view(text: str | None, odds: np.ndarray) -> list[float]:
     """Shares and averages of the whole text that do not grow with its length; odds: of each word bucket."""
     raw = (text or "").encode()
@@ -56,11 +53,11 @@ def text_view(text: str | None, odds: np.ndarray) -> list[float]:
     letters = max(1, int(kinds[65:91].sum() + kinds[97:123].sum()))
     low = [w.lower() for w in words]
     tally = Counter(low)
-    own = odds[np.fromiter(map(word_bucket, tally), np.int64, len(tally))]
+    own = odds[np.fromiter(map(zlib.crc32, tally), np.int64, len(tally)) % WORDS]
     often = np.fromiter(tally.values(), np.float64, len(tally))
     lines = raw.count(b"\n") + 1
     odd = sum(int(kinds[c]) for c in b"#$%&*@^~{}[]<>\\=_")
-    same = sum(a == b for a, b in zip(low, low[1:]))
+    same = sum(map(eq, low, low[1:]))
     return [
         min(1.0, odd / size * 4),
         int(kinds[65:91].sum()) / letters,
@@ -87,14 +84,17 @@ META = 2 * BUCKETS + 21
 STAGED = ["doc_id", "lang", "source", "n_chars", "quality", "order", "text_view"]
 
 
-def meta_view(lang, source, n_chars) -> list[float]:
-    """Language and source hashed to buckets, and the declared size in steps of two."""
-    out = [0.0] * META
-    out[_bucket("lang", lang)] = 1.0
-    out[BUCKETS + _bucket("source", source)] = 1.0
-    step = 0 if n_chars is None or n_chars < 1 else min(19, int(n_chars).bit_length())
-    out[2 * BUCKETS + step] = 1.0
-    out[-1] = math.log1p(max(0, n_chars or 0)) / 10
+def meta_view(lang: list, source: list, n_chars: list) -> np.ndarray:
+    """A row for each document: language and source hashed to buckets, and the declared size in steps of two."""
+    out = np.zeros((len(lang), META))
+    rows = np.arange(len(lang))
+    for first, name, values in ((0, "lang", lang), (BUCKETS, "source", source)):
+        at = {v: first + _bucket(name, v) for v in set(values)}
+        out[rows, np.fromiter((at[v] for v in values), np.int64, len(values))] = 1.0
+    size = np.fromiter((max(0, n or 0) for n in n_chars), np.float64, len(n_chars))
+    step = np.where(size < 1, 0, np.minimum(19, np.floor(np.log2(np.maximum(size, 1))) + 1)).astype(np.int64)
+    out[rows, 2 * BUCKETS + step] = 1.0
+    out[:, -1] = np.log1p(size) / 10
     return out
 
 
@@ -242,12 +242,12 @@ def _sizes() -> list[int]:
 def _matrices(b: pa.RecordBatch) -> list[np.ndarray]:
     """Text and metadata views of a batch of staged rows."""
     text = np.asarray(b.column("text_view").flatten(), np.float64).reshape(-1, len(TEXT))
-    return [text, np.array([meta_view(*m) for m in zip(*(b.column(c).to_pylist() for c in ("lang", "source", "n_chars")))], float).reshape(-1, META)]
+    return [text, meta_view(*(b.column(c).to_pylist() for c in ("lang", "source", "n_chars")))]
 
 
 def _views(texts, langs, sources, sizes, odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     text = np.array([text_view(t, odds) for t in texts], float).reshape(-1, len(TEXT))
-    return text, np.array([meta_view(*m) for m in zip(langs, sources, sizes)], float).reshape(-1, META)
+    return text, meta_view(langs, sources, sizes)
 
 
 def word_odds(told: DataFrame) -> np.ndarray:
@@ -257,8 +257,8 @@ def word_odds(told: DataFrame) -> np.ndarray:
         for b in slices(batches):
             held = np.zeros((WORDS, 2))
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = {word_bucket(w) for w in (text or "").encode().lower().split()}
-                held[np.fromiter(own, np.int64, len(own)), int(label)] += 1
+                own = set((text or "").encode().lower().split())
+                held[np.unique(np.fromiter(map(zlib.crc32, own), np.int64, len(own)) % WORDS), int(label)] += 1
             at = np.flatnonzero(held.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(held[at, 0], pa.float64()), pa.array(held[at, 1], pa.float64())], ["at", "bad", "good"])
 
@@ -292,7 +292,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = views.filter("quality is not null").groupBy("doc_id").agg(F.min(F.struct("order", "quality", "lang", "source", "n_chars", "text_view")).alias("x")).select("x.*").collect()
     rows = sorted(rows, key=lambda r: r["order"])
     text = np.array([r["text_view"] for r in rows], float).reshape(-1, len(TEXT))
-    meta = np.array([meta_view(r["lang"], r["source"], r["n_chars"]) for r in rows], float).reshape(-1, META)
+    meta = meta_view(*([r[c] for r in rows] for c in ("lang", "source", "n_chars")))
     model = co_train([text, meta], np.array([float(r["quality"]) for r in rows]), Pool(views.filter("quality is null")))
     model.odds = odds
     unstage(views)
