@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import slices, small, stage, tidy
 from .components import components
 
-TREE, STEP = 4096, 1 << 21
+TREE, STEP, UNITS = 4096, 1 << 21, 200_000
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -172,23 +172,31 @@ def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
     own, t = F.col("own"), F.col("t")
     dealt = keyed.select("fp", "pair", "part", "own", F.explode(F.sequence(F.lit(0), trees - 1)).alias("t"))
     role = F.when(t == own, F.lit(BOTH)).when(t > own, F.lit(QUERY)).otherwise(F.lit(IN_TREE))
-    dealt = dealt.select("fp", F.xxhash64("pair", "part", F.least(t, own), F.greatest(t, own)).alias("key"), role.alias("role")).repartition("key")
+    dealt = dealt.select("fp", F.xxhash64("pair", "part", F.least(t, own), F.greatest(t, own)).alias("key"), role.alias("role")).repartition("key").sortWithinPartitions("key")
+
+    def stars(held):
+        fp, key, role = (np.concatenate(c) for c in zip(*held))
+        u, v = _star(fp.view(np.uint64), key, role, radius)
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     def run(batches):
-        got = list(batches)
-        if not got:
-            return
-        fp, key, role = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in got]) for i in range(3))
-        order = np.argsort(key, kind="stable")
-        cuts = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0))) if len(key) else np.zeros(0, np.int64)
-        at = 0
-        while at < len(key):  # whole keys, some hundred thousand rows at a time
-            nxt = np.searchsorted(cuts, at + 300_000)
-            end = int(cuts[nxt]) if nxt < len(cuts) else len(key)
-            mine = order[at:end]
-            u, v = _star(fp[mine].view(np.uint64), key[mine], role[mine], radius)
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-            at = end
+        held, n = [], 0  # whole keys, some UNITS rows at a time; a key has two parts of a shard at most
+        for b in batches:
+            cols = tuple(b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            cuts = np.flatnonzero(np.diff(cols[1])) + 1
+            if n >= UNITS and len(cols[1]):
+                end = 0 if held[-1][1][-1] != cols[1][0] else int(cuts[0]) if len(cuts) else len(cols[1])
+                held.append(tuple(c[:end] for c in cols))
+                if end < len(cols[1]):
+                    yield stars(held)
+                    held, n, cols = [], 0, tuple(c[end:] for c in cols)
+                else:
+                    cols = tuple(c[end:] for c in cols)
+            if len(cols[1]):
+                held.append(cols)
+                n += len(cols[1])
+        if held:
+            yield stars(held)
 
     return dealt.mapInArrow(tidy(run), "u long, v long")
 
