@@ -15,7 +15,7 @@ one of each.
 Defined results: null vectors and vectors with null or non-finite components take no
 part; neither do rows without a vec_id; vectors of another length than a query's are
 no candidates of it; rows that repeat a vec_id are candidates each on its own, but
-never of a query of that id; ties go to the smaller vec_id; an empty table gives no
+never of a query of that id; scores are exact while they fit 64 bits; ties go to the smaller vec_id; an empty table gives no
 rows; extra columns are ignored.
 """
 
@@ -26,7 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK, QUERIES, SLICES = 16384, 512, 6
+from .common import tidy
+
+BLOCK, QUERIES, GROUP, SLICES = 16384, 512, 64, 6
 BLOB = "dim int, ids binary, data binary"
 
 
@@ -197,16 +199,20 @@ def _search(k: int):
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lanes: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score) over frames of (vec_id, embedding).
 
-    Row blocks are dealt over lanes and each query block is copied to each lane, an
-    equi-join of a stated query set with all rows, block by block."""
+    Row blocks are dealt over lanes and query blocks over groups of some GROUP blocks; the
+    two meet once for each lane and group, an equi-join of a stated query set with all rows,
+    block by block.  What a task holds of the queries is a group, however many there are."""
     lanes = lanes or int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = vectors.select("vec_id", "embedding").mapInArrow(_blobs(BLOCK), BLOB)
+    rows = vectors.select("vec_id", "embedding").mapInArrow(tidy(_blobs(BLOCK)), BLOB)
     asked = queries.select("vec_id", "embedding")
-    asked = asked.repartition(1 + asked.count() // QUERIES).mapInArrow(_blobs(QUERIES), BLOB)
-    rows = rows.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int"))
-    asked = asked.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
-    met = rows.join(asked.hint("shuffle_hash"), ["lane", "dim"]).select("dim", "q_ids", "q_data", "ids", "data")
-    found = met.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    blocks = 1 + asked.count() // QUERIES
+    groups = -(-blocks // GROUP)
+    asked = asked.repartition(blocks).mapInArrow(tidy(_blobs(QUERIES)), BLOB)
+    rows = rows.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    asked = asked.withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
+    asked = asked.select("dim", "group", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
+    met = rows.join(asked.hint("shuffle_hash"), ["lane", "group", "dim"]).select("dim", "q_ids", "q_data", "ids", "data")
+    found = met.mapInArrow(tidy(_search(k)), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

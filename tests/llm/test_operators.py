@@ -472,3 +472,44 @@ def test_html_votes_decide(spark):
     rows += [(5, "https://host.example/b", f"<body>{extra}{story.format(5)}</body>"), (6, "https://else.example/", f"<body>{extra}{story.format(6)}</body>")]
     got = {r.page_id: r.text for r in html_extract.query(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[5] == "Story text of page 5 that runs for a line or so." and got[6].startswith("Longer matter")
+
+
+def test_bounded_units(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "UNITS", 50)
+    monkeypatch.setattr(simhash, "TREE", 16)
+    rnd = random.Random(3)
+    prints = [rnd.getrandbits(64) for _ in range(120)]
+    prints += [p ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) for p in prints[:60]] + [p ^ 15 for p in range(0, 3000, 16)]
+    signed = sorted({p - (1 << 64) if p >> 63 else p for p in prints})
+    edges = [(r.u, r.v) for r in simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long"), 4).collect()]
+
+    def classes(links):
+        root = {p: p for p in signed}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in links:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return {p: find(p) for p in signed}
+
+    near = [(a, b) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (2**64 - 1)).bit_count() <= 4]
+    assert near and classes(edges) == classes(near)
+
+
+def test_topk_groups_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(bitslice, "GROUP", 1)
+    monkeypatch.setattr(bitslice, "QUERIES", 4)
+    rnd = np.random.default_rng(5)
+    v = [(i, [float(x) for x in rnd.normal(size=8)]) for i in range(300)] + [(7, [1.0] * 8), (400, None), (401, [float("nan")] * 8)]
+    df = spark.createDataFrame([(*r, "x") for r in v], "vec_id long, embedding array<float>, score string")
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in bitslice.top_k(df, df.filter("vec_id % 10 = 0"), 5).collect()]
+    ints = [(i, np.floor(256 * np.array(x, np.float32).astype(float)).astype(int)) for i, x in v if x and x[0] == x[0]]
+    want = []
+    for q, x in ints:
+        if q % 10 == 0:
+            best = sorted((-int(x @ y), i) for i, y in ints if i != q)[:5]
+            want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert sorted(got) == sorted(want)
