@@ -121,3 +121,11 @@ def non_latin_india(records: DataFrame, n: int = 20, seed: int = 42) -> DataFram
     rates = rates.select(F.lit("rate").alias("kind"), "*", F.round(F.col("hits") / F.greatest("india", F.lit(1)), 6).alias("non_latin_rate"))
     sample = eyeball(rows.filter("hit"), n, seed).select(F.lit("row").alias("kind"), "source", "entity_id", "country", "script_flag", "business_name", "business_address")
     return rates.unionByName(sample, allowMissingColumns=True)
+
+
+def truth_shape(rows: DataFrame) -> DataFrame:
+    """rows: (s1_id, n), the ids that a row of the ground truth names.  One row: rows, masters, whether a
+    master has a row of its own (a file of lists), and the mean and most of ids for a master."""
+    per = rows.groupBy("s1_id").agg(F.count("*").alias("rows"), F.sum("n").alias("t"))
+    out = per.agg(F.sum("rows").alias("n_rows"), F.count("*").alias("n_masters"), F.round(F.avg("t"), 6).alias("mean_t"), F.max("t").alias("max_t"))
+    return out.select("n_rows", "n_masters", (F.col("n_rows") == F.col("n_masters")).alias("lists"), "mean_t", "max_t")

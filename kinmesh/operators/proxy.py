@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import tsv
+
 
 @dataclass
 class ProxyConfig:
@@ -112,6 +114,17 @@ def split_train_test(proxy: Proxy, cfg: ProxyConfig | None = None) -> tuple[Prox
     return out[0], out[1]
 
 
+def build(spark: SparkSession, folder: str, cfg: ProxyConfig | None = None) -> dict[str, str]:
+    """Write both parts as sources with their ground truth; phase -> folder."""
+    out = {}
+    for phase, part in zip(("train", "test"), split_train_test(generate(spark, cfg), cfg)):
+        out[phase] = f"{folder}/{phase}"
+        for n, name in enumerate(("S1", "S2", "S3"), 1):
+            tsv.write_source(part.frames[name], f"{out[phase]}/source{n}.tsv")
+        tsv.write_truth(part.truth, f"{out[phase]}/ground_truth.tsv")
+    return out
+
+
 def sample(s1: DataFrame, frags: DataFrame, truth: DataFrame, n: int, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """n masters by hash, exactly their true fragments, and for each vendor n // 2 fragments of others."""
     order = F.xxhash64("entity_id", F.lit(seed))

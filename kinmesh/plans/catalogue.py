@@ -100,10 +100,13 @@ def _hits(c: DataFrame) -> DataFrame:
     return c.select("frag_id", "s1_id", (F.floor(F.col("score") * 1e6 + 1e-3) / 1e6).alias("score"), "rank")
 
 
-def _by_k(r: Run) -> DataFrame:
+def _deep(r: Run) -> DataFrame:
     deep = blocking.fuse(list(r.linked.channels.values()), r.linked.sure, max(reports.KS))
-    deep = deep.join(r.linked.sure.withColumn("sure", F.lit(True)), ["frag_id", "s1_id"], "left").na.fill(False, ["sure"])
-    return reports.by_k(r.truth, deep, r.frag_ids.agg(F.count("*").alias("n_frags")))
+    return deep.join(r.linked.sure.withColumn("sure", F.lit(True)), ["frag_id", "s1_id"], "left").na.fill(False, ["sure"])
+
+
+def _by_k(r: Run) -> DataFrame:
+    return reports.by_k(r.truth, _deep(r), r.frag_ids.agg(F.count("*").alias("n_frags")))
 
 
 def _features(r: Run, names: list[str]) -> DataFrame:
@@ -166,6 +169,8 @@ def queries() -> dict:
         "entity_ceiling": lambda r: reports.ceiling(r.spine, r.truth, r.linked.fused),
         "candidates_per_fragment": lambda r: reports.per_fragment(r.frag_ids, r.linked.fused),
         "pc_vs_k": _by_k,
+        "ceilings_vs_k": lambda r: reports.ceilings_by_k(r.spine, r.truth, _deep(r)),
+        "truth_shape": lambda r: audit.truth_shape(r.truth.groupBy("s1_id").agg(F.count("*").alias("n"))),
         "blocking_slices": lambda r: reports.slices(r.truth, r.linked.fused, r.s1.select(F.col("entity_id").alias("s1_id"), F.col("country_norm").alias("country"))),
         "channel_reach": lambda r: reports.reach(r.linked.channels),
         "blocking_gate": lambda r: reports.gate(_by_k(r)),

@@ -234,6 +234,13 @@ SELECT count(*) AS n, round(avg(c), 6) AS mean, min(c) AS least, max(c) AS most,
     q["pc_vs_k"] = f"""{BLOCKED_T},{fuse('deep', max(KS))}, x AS (SELECT d.*, t.s1_id IS NOT NULL AS hit, u.s1_id IS NOT NULL AS sure FROM deep d LEFT JOIN truth t ON d.frag_id = t.frag_id AND d.s1_id = t.s1_id LEFT JOIN sure u ON d.frag_id = u.frag_id AND d.s1_id = u.s1_id)
 SELECT CAST(k AS INTEGER) AS k, count(*) AS pairs, round(count(*) FILTER (WHERE hit) / (SELECT count(*) FROM truth), 6) AS pair_completeness, round(count(*) / (SELECT count(*) FROM fr), 6) AS per_fragment
 FROM x, (SELECT unnest({KS}) AS k) WHERE (NOT forced AND rrf_rank < k) OR sure GROUP BY k"""
+    q["ceilings_vs_k"] = f"""{BLOCKED_T},{fuse('deep', max(KS))}, ks AS (SELECT unnest({KS}) AS k),
+h AS (SELECT t.s1_id, t.frag_id, CASE WHEN u.s1_id IS NOT NULL AND d.s1_id IS NOT NULL THEN 0 WHEN NOT d.forced THEN d.rrf_rank + 1 END AS least FROM truth t
+  LEFT JOIN deep d ON d.frag_id = t.frag_id AND d.s1_id = t.s1_id LEFT JOIN sure u ON u.frag_id = t.frag_id AND u.s1_id = t.s1_id),
+x AS (SELECT k, s1.entity_id, count(h.frag_id) AS t, count(*) FILTER (WHERE least <= k) AS tp FROM s1 CROSS JOIN ks LEFT JOIN h ON h.s1_id = s1.entity_id GROUP BY 1, 2)
+SELECT CAST(k AS INTEGER) AS k, round(count(*) FILTER (WHERE tp = t) / count(*), 6) AS entity_ceiling,
+  round(1 - sum(CASE WHEN tp = t THEN 0.0 WHEN tp = 0 THEN 1.0 ELSE 1 - 1.25 * tp / (0.25 * t + tp) END) / count(*), 6) AS macro_f05_ceiling FROM x GROUP BY 1"""
+    q["truth_shape"] = f"{VIEW_T}, x AS (SELECT s1_id, count(*) AS t FROM truth GROUP BY 1) SELECT count(*) AS n_rows, count(*) AS n_masters, true AS lists, round(avg(t), 6) AS mean_t, max(t) AS max_t FROM x"
     q["blocking_gate"] = f"SELECT CAST(min(k) AS INTEGER) AS first_k FROM ({q['pc_vs_k']}) WHERE k <= 30 AND pair_completeness >= 0.99"
     q["blocking_slices"] = f"""{BLOCKED_T}, h AS ({HIT}), x AS (SELECT hit, 'country' AS slice, n.country_norm AS value FROM h JOIN n_s1 n ON n.entity_id = h.s1_id UNION ALL SELECT hit, 'vendor', split_part(frag_id, '-', 1) FROM h)
 SELECT slice, value, count(*) AS true_pairs, round(count(*) FILTER (WHERE hit) / count(*), 6) AS pair_completeness FROM x GROUP BY 1, 2"""

@@ -64,6 +64,53 @@ def read_ground_truth(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     return x.select("s1_id").distinct(), pairs
 
 
+def ground_truth_shape(spark: SparkSession, path: str) -> dict:
+    """Header fields and number of data rows, whatever the format."""
+    return {"header": header_fields(spark, path), "n_rows": _lines(spark, path).count()}
+
+
+def find_root(spark: SparkSession, *bases: str, require: tuple[str, ...] = ("train", "test")) -> str:
+    """The first of base, base/dataset and base/student_resource/dataset that holds the required folders."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for base in bases:
+        for folder in (base, f"{base}/dataset", f"{base}/student_resource/dataset"):
+            paths = [hadoop.Path(f"{folder}/{name}") for name in require]
+            if all(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) for p in paths):
+                return folder
+    raise FileNotFoundError(f"no folder with {', '.join(require)} under {', '.join(bases)}")
+
+
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """(entity_id) of a source, which names the rows that a submission must have."""
+    if header_fields(spark, path)[:1] != ["entity_id"]:
+        raise SanityCheckError(f"{path}: the first column is not entity_id")
+    return _lines(spark, path).select(F.col("fields")[0].alias("entity_id"))
+
+
+def submission_problems(spark: SparkSession, path: str, header: str = "matched_entity_ids", source: str | None = None, final: bool = False) -> list[str]:
+    """What is wrong with a file before its rows are looked at: it is missing or empty, its header is another
+    one, or the file of the masters that a final submission is held against is not there."""
+    hadoop, out = spark._jvm.org.apache.hadoop.fs, []
+    there = lambda p: (at := hadoop.Path(p)).getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    if not there(path):
+        return [f"missing file: {path}"]
+    fields = header_fields(spark, path)
+    if not fields or fields == [""]:
+        return [f"empty file: {path}"]
+    if fields != ["source1_entity_id", header]:
+        out.append(f"header is {fields}, not source1_entity_id and {header}")
+    if final and (source is None or not there(source)):
+        out.append("a final submission needs the file of the masters")
+    return out
+
+
+def write_truth(pairs: DataFrame, path: str) -> None:
+    """The ground truth as lists, masters and their ids in order."""
+    lists = pairs.groupBy("s1_id").agg(F.array_join(F.array_sort(F.collect_set("frag_id")), ",").alias("matched_entity_ids"))
+    rows = lists.select(F.col("s1_id").alias("source1_entity_id"), "matched_entity_ids").orderBy("source1_entity_id")
+    rows.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+
+
 def unknown_truth_ids(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """Fragment ids of the truth that no source holds; known: (frag_id)."""
     return pairs.select("frag_id").distinct().join(known, "frag_id", "left_anti")
@@ -109,6 +156,8 @@ def write_submission(spine: DataFrame, pairs: DataFrame, path: str, header: str
 
 def read_submission(spark: SparkSession, path: str) -> DataFrame:
     """(s1_id, ids) as the file has them, repeats included."""
+    if header_fields(spark, path)[:1] != ["source1_entity_id"]:
+        raise SanityCheckError(f"{path}: the first column is not source1_entity_id")
     x = spark.read.option("lineSep", "\n").text(path).select(F.split(F.regexp_replace("value", "\r$", ""), "\t", -1).alias("f")).filter("f[0] <> 'source1_entity_id'")
     ids = F.filter(F.split(F.coalesce(F.get("f", F.lit(1)), F.lit("")), ","), lambda i: i != "")
     return x.select(F.col("f")[0].alias("s1_id"), ids.alias("ids"))

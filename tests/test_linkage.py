@@ -313,3 +313,23 @@ def test_command_line_runs(spark, tmp_path):
     assert sum(r["n"] for r in found["scale"]) > 60 and found["namespace"] == 0 and found["unknown_truth_ids"] == 0
     report = run.link(spark, str(tmp_path), str(tmp_path / "out"), str(tmp_path / "model"), model_params={"maxIter": 3})
     assert report["violations"] == 0 and report["all"][0]["n"] == 40
+
+
+def test_proxy_build_and_files(spark, tmp_path):
+    made = proxy.build(spark, f"{tmp_path}/dataset", proxy.ProxyConfig(n_entities=40))
+    assert tsv.find_root(spark, f"{tmp_path}/none", str(tmp_path)) == f"{tmp_path}/dataset" and set(made) == {"train", "test"}
+    truth = f"{made['train']}/ground_truth.tsv"
+    shape = tsv.ground_truth_shape(spark, truth)
+    spine, pairs = tsv.read_ground_truth(spark, truth)
+    assert shape == {"header": ["source1_entity_id", "matched_entity_ids"], "n_rows": spine.count()}
+    row = audit.truth_shape(pairs.groupBy("s1_id").agg(F.count("*").alias("n"))).first()
+    assert row.lists and row.n_masters == spine.count() and row.mean_t * row.n_masters == pytest.approx(pairs.count(), abs=0.01)
+    ids = tsv.read_ids(spark, f"{made['train']}/source1.tsv")
+    assert ids.count() == tsv.load_source(spark, f"{made['train']}/source1.tsv").count()
+    assert tsv.submission_problems(spark, truth) == [] and len(tsv.submission_problems(spark, truth, "candidate_entity_ids", final=True)) == 2
+    assert tsv.submission_problems(spark, f"{tmp_path}/no.tsv")[0].startswith("missing")
+    (tmp_path / "blank.tsv").write_text("")
+    assert tsv.submission_problems(spark, f"{tmp_path}/blank.tsv")[0].startswith("empty")
+    with pytest.raises(tsv.SanityCheckError):
+        tsv.read_submission(spark, f"{made['train']}/source1.tsv")
+    assert reports.projection(36.0, 10, 10, 100, 100) == pytest.approx({"seconds_per_pair": 0.36, "hours_by_pairs": 1.0, "hours_by_fragments": 0.1})
