@@ -513,3 +513,23 @@ def test_topk_groups_of_queries(spark, monkeypatch):
             best = sorted((-int(x @ y), i) for i, y in ints if i != q)[:5]
             want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
     assert sorted(got) == sorted(want)
+
+
+def test_odd_rows_and_clashing_names(spark):
+    long = "Word " * 80_000
+    rows = [(1, "the same text of some words here", "en", "a", 5)] * 2 + [(None, None, None, None, None), (2, "", "en", None, None), (3, long, None, "b", None), (4, "x" * 300_000, "en", "b", 1), (5, "\u200b\u0301 é", "fr", "b", 1)]
+    names = ["quality_score", "predicted", "score", "held_out", "fingerprint", "component_id", "piece", "offset", "length", "rank", "__size", "order", "toxic", "quality"]
+    df = spark.createDataFrame([(*r, *["?"] * len(names)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 1), (4, 1, 0), (None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    scored = quality.query(df, labels)
+    assert scored.count() == len(rows) and scored.filter("quality_score is null").count() == 0
+    assert quality.keep_good(df, labels).columns == df.columns
+    assert toxicity.query(df, labels).filter("score between 0 and 1").count() == len(rows)
+    found = simhash.query(df).collect()
+    assert len(found) == len(rows) and {r.component_id for r in found if r.doc_id == 1} == {1}
+    assert {r.fingerprint for r in found if r.doc_id in (None, 2)} == {"0" * 16}
+    packed = packing.query(df).collect()
+    assert {r.doc_id for r in packed} == {None, 1, 2, 3, 4, 5} and all(r.length <= 2048 for r in packed)
+    assert [q.limit(0).count() for q in (simhash.query(df.limit(0)), packing.query(df.limit(0)), toxicity.query(df.limit(0), labels), quality.query(df.limit(0), labels))] == [0] * 4
+    removed = {r.doc_id: r.n_removed for r in substring.remove(df, span=6, k=3).collect()}
+    assert removed[1] == 0 and removed[None] == 0
