@@ -8,9 +8,11 @@ import time
 
 from pyspark.sql import SparkSession
 
-from kinmesh.plans.catalogue import queries
+from kinmesh.plans.catalogue import queries, run_of
 
-HEADLINE = ["normalise_name_address", "token_idf", "bm25_topk", "char_tfidf_topk", "key_candidates", "rrf_fusion", "pair_completeness", "pair_features_all", "softmax_null", "expected_f05_decode", "macro_f05", "submission_rows", "dense_topk", "script_census", "orphan_report"]
+#: Stages of the linkage, each timed as it is made and written, under the name of the query that reads it.
+STAGES = {"fragments": "normalise_name_address", "idf": "token_idf", "char": "char_tfidf_topk", "bm25": "bm25_topk", "key-hits": "key_candidates", "fused": "rrf_fusion"}
+HEADLINE = ["pair_completeness", "pair_features_all", "softmax_null", "expected_f05_decode", "macro_f05", "submission_rows", "dense_topk", "script_census", "orphan_report"]
 
 
 def main() -> None:
@@ -26,6 +28,8 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     of, took = queries(), {}
+    stages = run_of(spark, folder).linked.seconds
+    took |= {name: round(stages[part], 3) for part, name in STAGES.items()}
     for name in HEADLINE:
         began = time.time()
         of[name](spark, folder).write.format("noop").mode("overwrite").save()

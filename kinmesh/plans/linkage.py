@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -33,23 +34,31 @@ class Linked:
     channels: dict = field(default_factory=dict)
     sure: DataFrame | None = None
     fused: DataFrame | None = None
+    seconds: dict = field(default_factory=dict)
 
 
 def block(s1: DataFrame, frags: DataFrame, config: Config | None = None, embeddings: tuple | None = None) -> Linked:
-    """s1, frags: sources.  embeddings: (masters, fragments) as (id, vector) if config names the dense channel."""
-    config = config or Config()
-    s, f = stage(normalise(s1), "masters"), stage(normalise(frags), "fragments")
-    idf = stage(blocking.idf(s, T.edge_trimmed_tokens(F.col("name_norm"))), "idf")
-    hits = stage(blocking.key_hits(s, f, idf), "key-hits")
+    """s1, frags: sources; `seconds` of the result says how long each stage took.  embeddings: (masters, fragments) as (id, vector) if config names the dense channel."""
+    config, seconds = config or Config(), {}
+
+    def timed(name, make):
+        began = time.monotonic()
+        out = stage(make(), name)
+        seconds[name] = time.monotonic() - began
+        return out
+
+    s, f = timed("masters", lambda: normalise(s1)), timed("fragments", lambda: normalise(frags))
+    idf = timed("idf", lambda: blocking.idf(s, T.edge_trimmed_tokens(F.col("name_norm"))))
+    hits = timed("key-hits", lambda: blocking.key_hits(s, f, idf))
     made = {
         "char": lambda: blocking.char_tfidf(s, f, config.top_n),
         "bm25": lambda: blocking.bm25(s, f, limit=config.top_n),
         "keys": lambda: blocking.key_channel(hits),
         "dense": lambda: blocking.dense(*(embeddings or (None, None)), limit=config.top_n),
     }
-    out = Linked(s, f, idf, hits, {name: stage(made[name](), name) for name in config.channels})
+    out = Linked(s, f, idf, hits, {name: timed(name, made[name]) for name in config.channels}, seconds=seconds)
     out.sure = blocking.confident(hits)
-    out.fused = stage(blocking.fuse(list(out.channels.values()), out.sure, config.k), "fused")
+    out.fused = timed("fused", lambda: blocking.fuse(list(out.channels.values()), out.sure, config.k))
     return out
 
 
