@@ -29,19 +29,37 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark, path).filter(F.size("fields") == len(SOURCE)).select(*[F.col("fields")[i].alias(c) for i, c in enumerate(SOURCE)])
 
 
-def sanity(spark: SparkSession, path: str) -> DataFrame:
-    """One row: lines, lines with a wrong number of fields, and up to 20 of these."""
-    x = _lines(spark, path)
-    bad = F.size("fields") != len(SOURCE)
-    return x.agg(F.count("*").alias("n_lines"), F.count_if(bad).alias("n_bad")).crossJoin(x.filter(bad).limit(20).agg(F.collect_list("line").alias("examples")))
+def sanity(spark: SparkSession, path: str) -> dict:
+    """n_lines after the header of each file, n_bad of them with a wrong number of fields (blank lines
+    too), n_headers that are repeated, and the first 20 bad lines as (line number, line).
+
+    Lines are numbered in the scan; what comes to the driver is a count for each split."""
+    header = "\t".join(header_fields(spark, path))
+    x = spark.read.option("lineSep", "\n").text(path).select(F.monotonically_increasing_id().alias("id"), F.input_file_name().alias("file"), F.regexp_replace("value", "\r$", "").alias("line"))
+    bad = F.size(F.split("line", "\t", -1)) != len(SOURCE)
+    split = F.shiftright("id", 33).alias("split")
+    counts = sorted(x.groupBy(split).agg(F.count("*").alias("n"), F.count_if(bad).alias("bad"), F.count_if(F.col("line") == header).alias("headers"), F.collect_set("file").alias("files")).collect())
+    before, starts = 0, {}
+    for r in counts:
+        starts[r["split"]] = before
+        before += r["n"]
+    files = len({f for r in counts for f in r["files"]})
+    some = x.filter(bad).orderBy("id").limit(20).collect()
+    return {
+        "n_lines": before - files,
+        "n_bad": sum(r["bad"] for r in counts),
+        "n_headers": sum(r["headers"] for r in counts) - files,
+        "examples": [(starts[r["id"] >> 33] + (r["id"] & (1 << 33) - 1) + 1, r["line"]) for r in some],
+    }
 
 
 def check_source(spark: SparkSession, path: str, raise_on_failure: bool = True) -> dict:
     if header_fields(spark, path) != SOURCE:
-        report = {"ok": False, "problem": "header", "n_lines": 0, "n_bad": 0, "examples": []}
+        report = {"ok": False, "problem": "header", "n_lines": 0, "n_bad": 0, "n_headers": 0, "examples": []}
     else:
-        row = sanity(spark, path).first()
-        report = {"ok": row["n_bad"] == 0, "problem": "field count" if row["n_bad"] else None, **row.asDict()}
+        found = sanity(spark, path)
+        problem = "field count" if found["n_bad"] else "row count" if found["n_headers"] or read_source(spark, path).count() != found["n_lines"] else None
+        report = {"ok": problem is None, "problem": problem, **found}
     if raise_on_failure and not report["ok"]:
         raise SanityCheckError(f"{path}: {report['problem']}: {report['n_bad']} of {report['n_lines']} lines; {report['examples'][:3]}")
     return report

@@ -333,3 +333,15 @@ def test_proxy_build_and_files(spark, tmp_path):
     with pytest.raises(tsv.SanityCheckError):
         tsv.read_submission(spark, f"{made['train']}/source1.tsv")
     assert reports.projection(36.0, 10, 10, 100, 100) == pytest.approx({"seconds_per_pair": 0.36, "hours_by_pairs": 1.0, "hours_by_fragments": 0.1})
+
+
+def test_line_numbers_of_bad_lines(spark, tmp_path):
+    head, good = "\t".join(tsv.SOURCE), "S1-1\tA\tB\tUS"
+    (tmp_path / "s1.tsv").write_text("\n".join([head, good, "x\ty", good, "", good]) + "\n")
+    report = tsv.check_source(spark, f"{tmp_path}/s1.tsv", raise_on_failure=False)
+    assert (report["problem"], report["n_lines"], report["n_bad"], report["examples"]) == ("field count", 5, 2, [(3, "x\ty"), (5, "")])
+    (tmp_path / "s2.tsv").write_text("\n".join([head, good, head, good]))
+    report = tsv.check_source(spark, f"{tmp_path}/s2.tsv", raise_on_failure=False)
+    assert (report["problem"], report["n_lines"], report["n_headers"]) == ("row count", 3, 1)
+    (tmp_path / "s3.tsv").write_text("\r\n".join([head, good, good]) + "\r\n")
+    assert tsv.check_source(spark, f"{tmp_path}/s3.tsv")["ok"]
