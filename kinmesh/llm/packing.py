@@ -15,12 +15,14 @@ an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import cache
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +32,13 @@ SIZE, END = 2048, 0
 #: A length is ranked in parts of PART pieces; beyond PARTS such parts in all, in larger ones.
 PART, PARTS = 1 << 8, 1 << 13
 #: Entries of a generation of the encoder's memory, and the longest one in bytes or letters.
-KEEP, LONG = 150_000, 64
-#: Marks that the tokenizer parts from the letters before them, whatever these are.
-MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'<>")
+KEEP, LONG = 200_000, 64
+#: The parts that the tokenizer's own pattern tells apart.
+PARTED = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+#: The same for small letters up to U+024F, where a set says what the properties do, in less time.
+_LETTERS, _NUMBERS, _SPACE = "a-zªµºß-öø-\u024f", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
+PARTED_LATIN = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACE}{_LETTERS}{_NUMBERS}]+")
+BEYOND = re.compile("[^\0-\u024f]")
 
 
 def default_tokenizer() -> str:
@@ -48,11 +54,12 @@ class Recent(dict):
     def __init__(self, keep: int):
         self.keep, self.old = keep, {}
 
-    def find(self, keys) -> list:
+    def age(self) -> None:
+        self.old = dict(self)
+        self.clear()
+
+    def recall(self, keys: list) -> list:
         """Bring the keys that only the older generation holds into this one; those that neither holds."""
-        if len(self) >= self.keep:
-            self.old = dict(self)
-            self.clear()
         old, unknown = self.old.get, []
         for k in keys:
             if (found := old(k)) is None:
@@ -65,82 +72,49 @@ class Recent(dict):
 class Encoder:
     """text -> its ids as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and never joins what it parts, so each distinct
-    chunk between it is encoded once and looked up after that.  Most chunks are letters
-    and then marks; the tokenizer parts these too, and lower-cases, so the letters are
-    encoded many words at a time, and once for all spellings.  What is kept is bounded
-    at any vocabulary: chunks and parts of over LONG bytes are not kept, of the rest the
-    last 2 * KEEP at most."""
+    The tokenizer normalises and lower-cases, parts a text by a pattern and encodes each
+    part by itself.  So a text is parted here, each distinct part is encoded once, letters
+    many words at a time, and looked up after that.  What is kept is bounded at any
+    vocabulary: the last 2 * KEEP parts, of at most LONG characters.  A text that NFC
+    changes goes to the tokenizer whole."""
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
-        self.chunks, self.parts = Recent(KEEP), Recent(KEEP)
+        self.tokenizer, self.parts = _tokenizer(path), Recent(KEEP)
 
     def __call__(self, text: str) -> bytes:
-        chunks = text.encode().split()
+        low = text.lower() if text.isascii() else text.replace("\u03a3", "\u03c3").lower()  # sigma by itself has one small form
+        if not (text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low)):
+            return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        parts, held = (PARTED if BEYOND.search(low) else PARTED_LATIN).findall(low), self.parts
         try:
-            return b"".join(map(self.chunks.__getitem__, chunks))
+            return b"".join(map(held.__getitem__, parts))
         except KeyError:
             pass
-        held = self.chunks
-        held.find(())  # a full generation ages before this text's chunks are asked for
-        unknown = held.find([c for c in set(chunks) if c not in held])
-        held.update(self._encoded(unknown))
-        out = b"".join(map(held.__getitem__, chunks))
-        for c in unknown:
-            if len(c) > LONG:
-                del held[c]
-        return out
-
-    def _encoded(self, chunks: list[bytes]):
-        """(chunk, ids) of each."""
-        text = b" ".join(chunks).decode()
-        low = text.lower()
-        split, words, rest = [], set(), set()
-        # what NFC or a final sigma changes is left to the tokenizer, whole
-        if text.isascii() or "\u03a3" not in text and is_normalized("NFC", text) and is_normalized("NFC", low):
-            plain = zip(chunks, low.split(" "))
-        else:
-            wholes = [c.decode() for c in chunks]
-            sound = lambda w: "\u03a3" not in w and is_normalized("NFC", w) and is_normalized("NFC", w.lower())
-            plain = [(c, w.lower()) if sound(w) else (c, "") for c, w in zip(chunks, wholes)]
-        for c, w in plain:
-            letters = w.rstrip(MARKS)
-            if letters.isalpha():
-                words.add(letters)
-                marks = w[len(letters) :]
-                if marks:
-                    rest.add(marks)
-                split.append((c, letters, marks))
-            else:
-                whole = c.decode()
-                rest.add(whole)
-                split.append((c, whole, ""))
-        held = self.parts
-        held.find(())
-        unknown = held.find([p for p in words | rest if p not in held])
-        self._encode_words([w for w in unknown if w in words])
-        marks = [r for r in unknown if r not in words]
-        for r, e in zip(marks, self.tokenizer.encode_batch_fast(marks, add_special_tokens=False)):
-            held[r] = _bytes(e.ids)
-        out = [(c, held[a] + held[b] if b else held[a]) for c, a, b in split]
+        if len(held) >= held.keep:
+            held.age()
+        unknown = held.recall([p for p in set(parts) if p not in held])
+        self._learn(unknown)
+        out = b"".join(map(held.__getitem__, parts))
         for p in unknown:
             if len(p) > LONG:
                 del held[p]
         return out
 
-    def _encode_words(self, words: list[str]):
-        into = self.parts
+    def _learn(self, parts: list[str]):
+        words = [p for p in parts if p[0].isalpha()]
+        rest = [p for p in parts if not p[0].isalpha()]
+        for r, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.parts[r] = _bytes(e.ids)
         for at in range(0, len(words), 2048):
             some = words[at : at + 2048]
             e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             ids, number = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids, np.int64)
             cuts = (4 * (np.flatnonzero(np.diff(number)) + 1)).tolist()
             if len(cuts) + 1 == len(some):
-                into.update(zip(some, map(ids.__getitem__, map(slice, [0, *cuts], [*cuts, len(ids)]))))
+                self.parts.update(zip(some, map(ids.__getitem__, map(slice, [0, *cuts], [*cuts, len(ids)]))))
             else:
                 for w in some:
-                    into[w] = _bytes(self.tokenizer.encode(w, add_special_tokens=False).ids)
+                    self.parts[w] = _bytes(self.tokenizer.encode(w, add_special_tokens=False).ids)
 
 
 def _bytes(ids: list[int]) -> bytes:
