@@ -76,14 +76,16 @@ class Encoder:
     part by itself.  So a text is parted here, each distinct part is encoded once, letters
     many words at a time, and looked up after that.  What is kept is bounded at any
     vocabulary: the last 2 * KEEP parts, of at most LONG characters.  A text that NFC
-    changes goes to the tokenizer whole."""
+    changes, or that holds a special token's string, goes to the tokenizer whole."""
 
     def __init__(self, path: str):
         self.tokenizer, self.parts = _tokenizer(path), Recent(KEEP)
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __call__(self, text: str) -> bytes:
         low = text.lower() if text.isascii() else text.replace("\u03a3", "\u03c3").lower()  # sigma by itself has one small form
-        if not (text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low)):
+        plain = text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low)
+        if not plain or any(t in low for t in self.special):
             return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         parts, held = (PARTED if BEYOND.search(low) else PARTED_LATIN).findall(low), self.parts
         try:
