@@ -72,3 +72,19 @@ def test_only_what_is_asked_for(spark):
     catalogue._runs.clear()
     catalogue.queries()["high_df_tokens"](spark, "/root/testdata/sf0.001").collect()
     assert set(catalogue.run_of(spark, "/root/testdata/sf0.001").linked.seconds) == {"masters"}
+
+
+def test_long_lists_stop_early(monkeypatch):
+    """A long list of unlikely candidates behind a few likely ones: the hits' law grows only as far as a k can be best."""
+    import numpy as np
+
+    from kinmesh.operators import decode
+
+    calls = []
+    monkeypatch.setattr(decode, "_one_more", lambda law, p, of=decode._one_more: calls.append(1) or of(law, p))
+    q = np.array([[0.9] * 4 + [0.02] * 46])
+    k, ef = decode.best_k(q, np.zeros(1))
+    assert len(calls) < 70  # 50 for the misses, the rest for the hits
+    law = lambda p: np.array([1.0]) if not len(p) else np.convolve(law(p[:-1]), [1 - p[-1], p[-1]])
+    worth = [sum(a * b * 1.25 * i / (0.25 * (i + j) + n) for i, a in enumerate(law(q[0, :n])) if i for j, b in enumerate(law(q[0, n:]))) for n in range(1, 51)]
+    assert k[0] == 1 + int(np.argmax(worth)) and abs(ef[0] - max(worth)) < 1e-9
