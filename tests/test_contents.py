@@ -88,3 +88,20 @@ def test_long_lists_stop_early(monkeypatch):
     law = lambda p: np.array([1.0]) if not len(p) else np.convolve(law(p[:-1]), [1 - p[-1], p[-1]])
     worth = [sum(a * b * 1.25 * i / (0.25 * (i + j) + n) for i, a in enumerate(law(q[0, :n])) if i for j, b in enumerate(law(q[0, n:]))) for n in range(1, 51)]
     assert k[0] == 1 + int(np.argmax(worth)) and abs(ef[0] - max(worth)) < 1e-9
+
+
+def test_features_of_a_query_alone(spark):
+    """A query that reads some features works out no others, and has the values of the whole table."""
+    run = catalogue.Run(spark, "/root/testdata/sf0.001")
+    names = ["idf_jaccard", "idf_rarest_shared", "s1_share_address", "rrf_rank", "vendor_is_s3"]
+    some = catalogue._features(run, names)
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert "jaro" not in plan and "name_partial" not in plan and run._features is None
+    text = catalogue._features(run, ["name_ratio", "addr_ratio"])
+    assert "jaro" not in text._jdf.queryExecution().optimizedPlan().toString()
+    as_set = lambda df: sorted(tuple(r) for r in df.collect())
+    before = as_set(some), as_set(text)
+    whole = run.features
+    assert run._features.count() < whole.count()  # the table holds representatives
+    rounded = lambda names: as_set(whole.select("frag_id", "s1_id", *[F.round(n, 6).alias(n) for n in names]))
+    assert before == (rounded(names), rounded(["name_ratio", "addr_ratio"]))
