@@ -14,10 +14,13 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from codecs import charmap_decode
 from functools import cache
+from operator import attrgetter
 from unicodedata import is_normalized
 
 import numpy as np
@@ -37,8 +40,13 @@ KEEP, LONG = 200_000, 64
 PARTED = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 #: The same for small letters up to U+024F, where a set says what the properties do, in less time.
 _LETTERS, _NUMBERS, _SPACE = "a-zªµºß-öø-\u024f", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
-PARTED_LATIN = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACE}{_LETTERS}{_NUMBERS}]+")
+PARTED_LATIN = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^{_SPACE}{_LETTERS}{_NUMBERS}]+")
+PARTED_ASCII = re.compile(r"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9]+")
 BEYOND = re.compile("[^\0-\u024f]")
+#: The letters that stand for bytes in a byte-level model: printable ones of Latin-1 for themselves, the others from U+0100 on.
+_OTHERS = [*range(33), *range(127, 161), 173]
+BYTES = "".join(chr(256 + _OTHERS.index(b) if b in _OTHERS else b) for b in range(256))
+ID = attrgetter("id")
 
 
 def default_tokenizer() -> str:
@@ -48,81 +56,77 @@ def default_tokenizer() -> str:
 
 
 class Recent(dict):
-    """What was looked up last: two generations of at most `keep` entries.  When the younger
-    one is full, the older one goes with all that was not asked for again."""
+    """key -> learn(key), kept for what was looked up last: two generations of at most `keep` entries.  When
+    the younger one is full, the older one goes with all that was not asked for again."""
 
-    def __init__(self, keep: int):
-        self.keep, self.old = keep, {}
+    def __init__(self, keep: int, learn):
+        self.keep, self.learn, self.old = keep, learn, {}
 
-    def age(self) -> None:
-        self.old = dict(self)
-        self.clear()
-
-    def recall(self, keys: list) -> list:
-        """Bring the keys that only the older generation holds into this one; those that neither holds."""
-        old, unknown = self.old.get, []
-        for k in keys:
-            if (found := old(k)) is None:
-                unknown.append(k)
-            else:
-                self[k] = found
-        return unknown
+    def __missing__(self, key: str) -> bytes:
+        if (found := self.old.get(key)) is None:
+            found = self.learn(key)
+        if len(self) >= self.keep:
+            self.old = dict(self)
+            self.clear()
+        if len(key) <= LONG:
+            self[key] = found
+        return found
 
 
 class Encoder:
     """text -> its ids as little-endian unsigned 32-bit bytes.
 
     The tokenizer normalises and lower-cases, parts a text by a pattern and encodes each
-    part by itself.  So a text is parted here, each distinct part is encoded once, letters
-    many words at a time, and looked up after that.  What is kept is bounded at any
-    vocabulary: the last 2 * KEEP parts, of at most LONG characters.  A text that NFC
-    changes, or that holds a special token's string, goes to the tokenizer whole."""
+    part by itself.  So a text is parted here, each distinct part is encoded once, by the
+    tokenizer's model alone up to U+024F, and looked up after that.
+    What is kept is bounded at any vocabulary: the last 2 * KEEP parts, of at most LONG
+    characters.  A text that NFC changes, or that holds a special token's string, goes to
+    the tokenizer whole."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.parts = _tokenizer(path), Recent(KEEP)
+        self.tokenizer, self.held = _tokenizer(path), Recent(KEEP, self._learn)
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model if _by_bytes(self.tokenizer) else None
+        self.packed = _bytes_of_each(path).__getitem__
 
     def __call__(self, text: str) -> bytes:
-        low = text.lower() if text.isascii() else text.replace("\u03a3", "\u03c3").lower()  # sigma by itself has one small form
-        plain = text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low)
+        ascii = text.isascii()
+        low = text.lower() if ascii else text.replace("\u03a3", "\u03c3").lower()  # sigma by itself has one small form
+        plain = ascii or is_normalized("NFC", text) and is_normalized("NFC", low)
         if not plain or any(t in low for t in self.special):
             return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        parts, held = (PARTED if BEYOND.search(low) else PARTED_LATIN).findall(low), self.parts
-        try:
-            return b"".join(map(held.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(held) >= held.keep:
-            held.age()
-        unknown = held.recall([p for p in set(parts) if p not in held])
-        self._learn(unknown)
-        out = b"".join(map(held.__getitem__, parts))
-        for p in unknown:
-            if len(p) > LONG:
-                del held[p]
-        return out
-
-    def _learn(self, parts: list[str]):
-        words = [p for p in parts if p[0].isalpha()]
-        rest = [p for p in parts if not p[0].isalpha()]
-        for r, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.parts[r] = _bytes(e.ids)
-        for at in range(0, len(words), 2048):
-            some = words[at : at + 2048]
-            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, number = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids, np.int64)
-            cuts = (4 * (np.flatnonzero(np.diff(number)) + 1)).tolist()
-            if len(cuts) + 1 == len(some):
-                self.parts.update(zip(some, map(ids.__getitem__, map(slice, [0, *cuts], [*cuts, len(ids)]))))
-            else:
-                for w in some:
-                    self.parts[w] = _bytes(self.tokenizer.encode(w, add_special_tokens=False).ids)
+        parted = PARTED_ASCII if ascii else PARTED if BEYOND.search(low) else PARTED_LATIN
+        return b"".join(map(self.held.__getitem__, parted.findall(low)))
+
+    def _learn(self, part: str) -> bytes:
+        if self.model is None or not part.isascii() and BEYOND.search(part):
+            return _bytes(self.tokenizer.encode(part, add_special_tokens=False).ids)
+        letters = part if part.isascii() and part.isprintable() else charmap_decode(part.encode(), "strict", BYTES)[0]
+        return b"".join(map(self.packed, map(ID, self.model.tokenize(letters))))
 
 
 def _bytes(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
+@cache
+def _bytes_of_each(path: str) -> list[bytes]:
+    """Of every id of the vocabulary."""
+    ids = _bytes([*range(1 + max(_tokenizer(path).get_vocab().values()))])
+    return [ids[at : at + 4] for at in range(0, len(ids), 4)]
+
+
+def _by_bytes(tokenizer) -> bool:
+    """Whether a part's ids are those of its UTF-8 bytes, each written as a letter, by the model alone."""
+    from tokenizers.models import BPE
+
+    if tokenizer.pre_tokenizer is None or not isinstance(tokenizer.model, BPE) or tokenizer.model.dropout:
+        return False
+    state = json.loads(tokenizer.pre_tokenizer.__getstate__())
+    *_, last = state.get("pretokenizers", [state])
+    return last["type"] == "ByteLevel" and not last["add_prefix_space"] and not last["use_regex"]
+
+
 @cache
 def _tokenizer(path: str):
     """Read once in a worker; what is learnt beside it goes with the task."""
