@@ -36,6 +36,12 @@ def worked_out(sources: list[DataFrame], extra_placeholders: list[str] | None =
     return _names(_distinct(raw, "_business_name"), extra_placeholders), _addresses(_distinct(raw, "_business_address", "_country"), extra_placeholders)
 
 
+def parsed(df: DataFrame, names: DataFrame, addresses: DataFrame) -> DataFrame:
+    """entity_id and what `names` and `addresses` say of a record; records of names or addresses that these lack go."""
+    raw = df.select("entity_id", *_blank_if_null())
+    return raw.join(names, "_business_name").join(addresses, ["_business_address", "_country"])
+
+
 def _blank_if_null() -> list[Column]:
     return [F.coalesce(c, F.lit("")).alias(f"_{c}") for c in RAW]
 

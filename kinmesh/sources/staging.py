@@ -9,6 +9,7 @@ import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,3 +36,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/kinmesh-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: What a table that is broadcast holds at most: rows, and characters of texts.
+FEW_ROWS, FEW_CHARACTERS = 400_000, 32_000_000
+
+
+def small(staged: DataFrame) -> DataFrame:
+    """A broadcast hint if a staged table is known to be small; beyond that the planner joins by shuffle."""
+    texts = sum((F.coalesce(F.length(c), F.lit(0)) for c, kind in staged.dtypes if kind == "string"), F.lit(0))
+    n, size = staged.agg(F.count("*"), F.coalesce(F.sum(texts), F.lit(0))).first()
+    return F.broadcast(staged) if n <= FEW_ROWS and size <= FEW_CHARACTERS else staged
